@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from . import chat_format, license_scan, quality_rules, secret_scan
+from . import chat_format, language_id, license_scan, line_dedup, packing, quality_rules, secret_scan
 from .common import table
 
 
@@ -26,6 +27,19 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
+def digests(packed: DataFrame) -> DataFrame:
+    """The pieces with their ids as a checksum."""
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
+
+
+def held_out() -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.range(2).select(
@@ -48,6 +62,16 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.where(~held_out()))
+    return language_id.identify(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "lines_deleted")
+
+
 _OP5_SQL = r"""
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -72,7 +96,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_secret_scan": op1_secret_scan,
         "op2_quality_rules": op2_quality_rules,
         "op3_license_scan": op3_license_scan,
+        "op4_packing": op4_packing,
         "op5_chat_format": op5_chat_format,
+        "op8_language_id": op8_language_id,
+        "op9_line_dedup": op9_line_dedup,
     }
 
 
