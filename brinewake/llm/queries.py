@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from . import chat_format, language_id, license_scan, line_dedup, packing, quality_rules, secret_scan
+from . import chat_format, language_id, license_scan, line_dedup, ngram_join, packing, quality_rules, secret_scan
 from .common import table
 
 
@@ -62,6 +62,10 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_components(table(spark, sf_dir, "documents"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.fit(docs.where(~held_out()))
@@ -98,6 +102,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_license_scan": op3_license_scan,
         "op4_packing": op4_packing,
         "op5_chat_format": op5_chat_format,
+        "op6_ngram_join": op6_ngram_join,
         "op8_language_id": op8_language_id,
         "op9_line_dedup": op9_line_dedup,
     }
