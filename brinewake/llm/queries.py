@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from . import chat_format, language_id, license_scan, line_dedup, ngram_join, packing, quality_rules, secret_scan
+from . import chat_format, decontam, language_id, license_scan, line_dedup, ngram_join, packing, quality_rules, secret_scan
 from .common import table
 
 
@@ -27,9 +27,13 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
-def digests(packed: DataFrame) -> DataFrame:
+def digests(packed: DataFrame, *more: str) -> DataFrame:
     """The pieces with their ids as a checksum."""
-    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", *more)
+
+
+def n_chars(kind) -> Column:
+    return F.length("text").cast(kind)
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +70,10 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_components(table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.fit(docs.where(~held_out()))
@@ -103,6 +111,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_packing": op4_packing,
         "op5_chat_format": op5_chat_format,
         "op6_ngram_join": op6_ngram_join,
+        "op7_decontamination": op7_decontamination,
         "op8_language_id": op8_language_id,
         "op9_line_dedup": op9_line_dedup,
     }

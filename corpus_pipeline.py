@@ -1,10 +1,16 @@
-"""Training-corpus pipeline: quality rules, line dedup, near duplicates, decontamination, packing."""
+"""Training-corpus pipeline: quality rules, line dedup, near duplicates, decontamination, packing.
+
+Every stage takes (spark, docs, sf_dir), works on all that its predecessor kept and returns a
+DataFrame; ``run`` writes each result to the shared scratch folder and reads it back.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from brinewake.llm import quality_rules
+from brinewake.llm import decontam, line_dedup, ngram_join, packing, quality_rules, queries
+from brinewake.llm.common import cut
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -12,12 +18,39 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.quality_filter(docs)
 
 
-STAGES = [("quality", quality)]
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Common blocks of lines go from later documents, and a document of which nothing is left;
+    n_chars follows the text."""
+    out = line_dedup.dedup_lines(docs)
+    out = out.where("lines_deleted = 0 or trim(text) <> ''")
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", queries.n_chars(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document of least id stays."""
+    return ngram_join.keep_first(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontam.decontaminate(docs, queries.table(spark, sf_dir, "benchmark"))
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token sequences, one row per piece, with ids and their checksum."""
+    return queries.digests(packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json")), "ids")
+
+
+STAGES = [("quality", quality), ("line_dedup", lines), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("packing", sequences)]
+#: Robust estimates, alignment, exact similarity components and tokenising are beyond SQL; the stages
+#: are tested against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = queries.table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+        docs = cut(stage(spark, docs, sf_dir))
     return docs
