@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from . import chat_format, decontam, language_id, license_scan, line_dedup, ngram_join, packing, quality_rules, secret_scan
+from . import chat_format, decontam, language_id, license_scan, line_dedup, ngram_join, packing, quality_rules, secret_scan, toxicity
 from .common import table
 
 
@@ -84,6 +84,12 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "lines_deleted")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs.where(~held_out()), table(spark, sf_dir, "labels").where(~held_out()))
+    return toxicity.score_toxicity(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 _OP5_SQL = r"""
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -114,6 +120,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_decontamination": op7_decontamination,
         "op8_language_id": op8_language_id,
         "op9_line_dedup": op9_line_dedup,
+        "op10_toxicity": op10_toxicity,
     }
 
 
