@@ -1,11 +1,515 @@
-"""The registered queries and their SQL."""
+"""The registered queries and, beside each, its SQL."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries():
-    return {}
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions import geo, labels, signal, times
+from ..operators import cleaning, clips, interpolate, metadata, report, sampling, scenario
+from ..sources import audio, nmea, text
+from . import views
+from .views import AIS_SQL, META_SQL, PRIORITIES, QUIET, RADII, WATER_SQL, table
 
-def oracle_sql():
-    return {}
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def keep(f):
+        _QUERIES[f.__name__] = f
+        if sql is not None:
+            _SQL[f.__name__] = sql
+        return f
+
+    return keep
+
+
+def _rounded(c: str):
+    """Six digits, a little off exact halves: sums in another order then round alike."""
+    return F.round(F.col(c) + 1e-9, 6).alias(c)
+
+
+def _day():
+    return F.col("file").cast("string").alias("file")
+
+
+# -- scenarios ------------------------------------------------------------------------------------
+
+_RADII_SQL = "radii AS (SELECT unnest([1000, 3000, 6000, 10000])::INTEGER AS r)"
+_BINS_SQL = f"""WITH {AIS_SQL}, {_RADII_SQL},
+spine AS (SELECT unnest(generate_series((SELECT min(at_us // 600000000) FROM ais), (SELECT max(at_us // 600000000) FROM ais))) * 600000000 AS bin_us),
+c AS (
+  SELECT s.bin_us, r, count(*) FILTER (distance <= r) AS n_inclusion, count(*) FILTER (distance <= r + 2000) AS n_exclusion,
+    count(DISTINCT mmsi) FILTER (distance <= r + 2000) AS vessels
+  FROM spine s CROSS JOIN radii LEFT JOIN ais a ON a.at_us // 600000000 * 600000000 = s.bin_us GROUP BY ALL
+),
+bins AS (SELECT *, CASE WHEN n_exclusion = 0 THEN 'background' WHEN vessels = 1 AND n_inclusion = n_exclusion THEN 'vessel' ELSE 'none' END AS kind FROM c)"""
+
+
+def _wide(spark, sf_dir):
+    m = views.ais(spark, sf_dir).select("mmsi", "at_us", "distance")
+    return scenario.classify_bins(m, RADII, views.STEP_US)
+
+
+def _timed(intervals: DataFrame) -> DataFrame:
+    ends = {"begin": times.from_epoch_us(F.col("begin_us")), "end": times.from_epoch_us(F.col("end_us"))}
+    return intervals.select("kind", "inclusion_radius", "n_bins", *[c.alias(n) for n, c in ends.items()])
+
+
+def _least():
+    return F.when(F.col("kind") == "background", views.LEAST["background"]).otherwise(views.LEAST["vessel"])
+
+
+@query(_BINS_SQL + " SELECT r AS inclusion_radius, make_timestamp(bin_us) AS minute, n_inclusion, n_exclusion, kind FROM bins")
+def minute_classification(spark, sf_dir):
+    d = scenario.long_bins(_wide(spark, sf_dir), RADII)
+    return d.select("inclusion_radius", times.from_epoch_us(F.col("bin_us")).alias("minute"), "n_inclusion", "n_exclusion", "kind")
+
+
+def _runs_sql(source: str, name: str) -> str:
+    """CTEs from (kind, r, bin_us) to the runs' bins and runs."""
+    return f"""{name}_d AS (SELECT *, coalesce((bin_us - lag(bin_us) OVER w) // 600000000, 0) AS diff FROM {source} WINDOW w AS (PARTITION BY kind, r ORDER BY bin_us)),
+{name}_n AS (SELECT *, CASE WHEN diff = lag(diff) OVER w THEN 0 ELSE 1 END AS new FROM {name}_d WINDOW w AS (PARTITION BY kind, r ORDER BY bin_us)),
+{name}_r AS (SELECT *, sum(new) OVER (PARTITION BY kind, r ORDER BY bin_us) AS run FROM {name}_n),
+{name} AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY kind, r, run) AS size FROM {name}_r) WHERE size >= CASE kind WHEN 'background' THEN 3 ELSE 2 END)"""
+
+
+_GROUP_SQL = "SELECT kind, r AS inclusion_radius, count(*) AS n_bins, make_timestamp(min(bin_us)) AS begin, make_timestamp(max(bin_us) + 600000000) AS \"end\""
+
+
+def _runs(spark, sf_dir, strict=False):
+    bins = scenario.long_bins(_wide(spark, sf_dir), RADII).where("kind <> 'none'")
+    return _timed(scenario.runs(bins, ("kind", "inclusion_radius"), views.STEP_US, _least(), strict))
+
+
+@query(f"{_BINS_SQL}, open AS (SELECT kind, r, bin_us FROM bins WHERE kind <> 'none'), {_runs_sql('open', 'used')} {_GROUP_SQL} FROM used GROUP BY kind, r, run")
+def scenario_runs(spark, sf_dir):
+    return _runs(spark, sf_dir)
+
+
+@query(f"{_BINS_SQL}, open AS (SELECT kind, r, bin_us FROM bins WHERE kind <> 'none'), {_runs_sql('open', 'used')} {_GROUP_SQL} FROM used GROUP BY kind, r, run HAVING min(diff) = 1")
+def scenario_runs_strict(spark, sf_dir):
+    return _runs(spark, sf_dir, strict=True)
+
+
+def _cascade_sql() -> str:
+    out, taken = [_BINS_SQL], []
+    for r in sorted(RADII, reverse=True):
+        gone = " UNION ALL ".join(f"SELECT kind, bin_us FROM used_{x}" for x in taken)
+        rest = f" AND NOT EXISTS (SELECT 1 FROM ({gone}) g WHERE g.kind = b.kind AND g.bin_us = b.bin_us)" if taken else ""
+        out.append(f"open_{r} AS (SELECT kind, r, bin_us FROM bins b WHERE kind <> 'none' AND r = {r}{rest})")
+        out.append(_runs_sql(f"open_{r}", f"used_{r}"))
+        taken.append(r)
+    return ",\n".join(out) + ",\nfinal AS (" + " UNION ALL ".join(f"SELECT kind, r, run, bin_us FROM used_{r}" for r in taken) + f"), intervals AS ({_GROUP_SQL}, min(bin_us) AS begin_us, max(bin_us) + 600000000 AS end_us FROM final GROUP BY kind, r, run)"
+
+
+def _intervals(spark, sf_dir):
+    return scenario.cascade(_wide(spark, sf_dir), RADII, (), views.STEP_US, views.LEAST)
+
+
+@query(_cascade_sql() + ' SELECT kind, inclusion_radius, n_bins, begin, "end" FROM intervals')
+def scenario_intervals(spark, sf_dir):
+    return _timed(_intervals(spark, sf_dir))
+
+
+@query(_cascade_sql() + " SELECT kind, inclusion_radius, begin_us, event_id, mmsi, ts, round(distance, 6) AS distance FROM intervals JOIN ais ON at_us BETWEEN begin_us - 60000000 AND end_us + 60000000")
+def interval_extract(spark, sf_dir):
+    d = scenario.interval_messages(_intervals(spark, sf_dir), views.ais(spark, sf_dir))
+    return d.select("kind", "inclusion_radius", "begin_us", "event_id", "mmsi", "ts", F.round("distance", 6).alias("distance"))
+
+
+# -- cleaning -------------------------------------------------------------------------------------
+
+
+@query(f"WITH {AIS_SQL} SELECT event_id, mmsi, file::VARCHAR AS file, coalesce(type_and_cargo, max(type_and_cargo) OVER (PARTITION BY file, mmsi)) AS type_and_cargo FROM ais")
+def type_fill(spark, sf_dir):
+    return cleaning.fill_type(views.ais(spark, sf_dir)).select("event_id", "mmsi", _day(), "type_and_cargo")
+
+
+@query(f"WITH {AIS_SQL} SELECT DISTINCT event_id, mmsi, ts, round(x, 6) AS x, round(y, 6) AS y FROM ais WHERE x IS NOT NULL AND y IS NOT NULL")
+def dedupe_positions(spark, sf_dir):
+    d = views.ais(spark, sf_dir).select("event_id", "mmsi", "ts", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
+    return cleaning.located(d.unionByName(d))
+
+
+_RAW_SQL = """raw AS (SELECT event_id, CASE WHEN k % 17 = 0 THEN 4 ELSE id END AS id, k % 2 AS part_num, CASE WHEN k % 13 = 0 THEN mmsi ELSE mmsi + 316000000 END AS mmsi,
+  CASE WHEN k % 7 = 0 THEN 181 ELSE x END AS x, CASE WHEN k % 11 = 0 THEN 91 ELSE y END AS y, k * 20.0::DOUBLE AS sog, cog * 2 AS cog, k * 10.0::DOUBLE AS true_heading, k % 30 AS type_and_cargo FROM ais)"""
+
+
+@query(f"""WITH {AIS_SQL}, {_RAW_SQL}, picked AS (
+  SELECT event_id, id, mmsi, CASE WHEN id IN (1,2,3,18,19) AND x < 181 THEN round(x, 6) END AS x, CASE WHEN id IN (1,2,3,18,19) AND y < 91 THEN round(y, 6) END AS y,
+    CASE WHEN id IN (1,2,3,18,19) AND sog < 1023 THEN sog END AS sog, CASE WHEN id IN (1,2,3,18,19) AND cog < 3600 THEN round(cog, 6) END AS cog,
+    CASE WHEN id IN (1,2,3,18,19) AND true_heading < 511 THEN true_heading END AS true_heading,
+    CASE WHEN id IN (5,19) OR (id = 24 AND part_num = 1) THEN nullif(type_and_cargo, 0) END AS type_and_cargo
+  FROM raw WHERE length(mmsi::VARCHAR) = 9 AND id IN (1,2,3,5,18,19,24))
+SELECT * FROM picked WHERE coalesce(x, y, sog, cog, true_heading, type_and_cargo) IS NOT NULL""")
+def sentinel_null(spark, sf_dir):
+    k = F.col("k")
+    raw = views.ais(spark, sf_dir).select(
+        "event_id",
+        F.when(k % 17 == 0, 4).otherwise(F.col("id")).alias("id"),
+        (k % 2).alias("part_num"),
+        F.when(k % 13 == 0, F.col("mmsi")).otherwise(F.col("mmsi") + 316000000).alias("mmsi"),
+        F.when(k % 7 == 0, 181.0).otherwise(F.col("x")).alias("x"),
+        F.when(k % 11 == 0, 91.0).otherwise(F.col("y")).alias("y"),
+        (k * 20.0).alias("sog"),
+        (F.col("cog") * 2).alias("cog"),
+        (k * 10.0).alias("true_heading"),
+        (k % 30).alias("type_and_cargo"),
+    )
+    m = cleaning.select_messages(raw)
+    return m.select("event_id", "id", "mmsi", *[F.round(c, 6).alias(c) for c in ("x", "y")], "sog", F.round("cog", 6).alias("cog"), "true_heading", "type_and_cargo")
+
+
+_STATIONS = (("west", -122.95, 49.03), ("east", -122.85, 49.06))
+
+
+def _stations(spark):
+    rows = F.array(*[F.struct(F.lit(n).alias("station"), F.lit(x).alias("sx"), F.lit(y).alias("sy")) for n, x, y in _STATIONS])
+    return spark.range(1).select(F.inline(rows))
+
+
+_HAVERSINE = "2 * 6371008.8::DOUBLE * asin(sqrt(least(1.0::DOUBLE, power(sin(radians(y - sy) / 2), 2) + cos(radians(sy)) * cos(radians(y)) * power(sin(radians(x - sx) / 2), 2))))"
+
+
+@query(f"WITH {AIS_SQL}, s AS (SELECT * FROM (VALUES ('west', -122.95::DOUBLE, 49.03::DOUBLE), ('east', -122.85::DOUBLE, 49.06::DOUBLE)) v(station, sx, sy)) SELECT event_id, station, round(d, 3) AS metres FROM (SELECT event_id, station, {_HAVERSINE} AS d FROM ais, s) WHERE ceil(d) <= 6000")
+def radius_filter(spark, sf_dir):
+    d = cleaning.near_station(views.ais(spark, sf_dir), _stations(spark), 6000)
+    return d.select("event_id", "station", F.round("distance_to_station", 3).alias("metres"))
+
+
+@query()
+def geodesic_distance(spark, sf_dir):
+    d = views.ais(spark, sf_dir).crossJoin(F.broadcast(_stations(spark)))  # two constant rows
+    return d.select("event_id", "station", F.round(geo.geodesic(F.col("sx"), F.col("sy"), F.col("x"), F.col("y")), 3).alias("metres"))
+
+
+_DEPLOYMENTS = (("A", "1995-01-10 05:00:00", "1995-02-20 07:00:00"), ("B", "1995-02-01 00:00:00", "1995-03-15 23:00:00"), ("C", "1996-01-01 12:00:00", "1996-06-01 12:00:00"))
+
+
+def _deployments(spark):
+    rows = F.array(*[F.struct(F.lit(n).alias("device"), F.lit(a).cast("timestamp_ntz").alias("begin"), F.lit(b).cast("timestamp_ntz").alias("end")) for n, a, b in _DEPLOYMENTS])
+    return spark.range(1).select(F.inline(rows))
+
+
+_DEPLOYMENT_ROWS = ", ".join(f"('{n}', TIMESTAMP '{a}', TIMESTAMP '{b}')" for n, a, b in _DEPLOYMENTS)
+
+
+def _assign(spark, sf_dir, short_only):
+    files = table(spark, sf_dir, "orders").select("o_orderkey", times.epoch_us(F.col("o_orderdate")).alias("at_us"))
+    return cleaning.in_deployments(files, _deployments(spark), "at_us", short_only=short_only).select("o_orderkey", "device", "begin")
+
+
+_ASSIGN_SQL = f"SELECT o_orderkey, device, begin FROM orders JOIN (VALUES {_DEPLOYMENT_ROWS}) d(device, begin, finish) ON o_orderdate BETWEEN date_trunc('day', begin) AND date_trunc('day', finish) + INTERVAL 1 DAY"
+
+
+@query(_ASSIGN_SQL)
+def deployment_assign(spark, sf_dir):
+    return _assign(spark, sf_dir, False)
+
+
+@query(_ASSIGN_SQL + " WHERE finish - begin <= INTERVAL 60 DAY")
+def deployment_assign_short(spark, sf_dir):
+    return _assign(spark, sf_dir, True)
+
+
+@query("SELECT 'DEV_' || o_orderkey || '.txt' AS name FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')")
+def file_manifest_anti(spark, sf_dir):
+    available = table(spark, sf_dir, "orders").select(F.concat(F.lit("DEV_"), F.col("o_orderkey").cast("string"), F.lit(".txt")).alias("name"))
+    done = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(F.concat(F.lit("DEV_"), F.col("l_orderkey").cast("string"), F.lit("_parsed.json")).alias("output"))
+    return cleaning.not_done(available, done, F.regexp_replace("name", r"\.txt$", ""), F.regexp_replace("output", r"_parsed\.json$", ""))
+
+
+# -- tracks ---------------------------------------------------------------------------------------
+
+_GAPS_SQL = f"""WITH {AIS_SQL}, many AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY mmsi) AS n FROM ais) WHERE n > 1),
+g AS (SELECT *, lag(at_us) OVER (PARTITION BY mmsi ORDER BY at_us) AS prev_us FROM many),
+gaps AS (SELECT *, at_us - prev_us AS gap_us, coalesce(at_us - prev_us > 20000000 AND at_us - prev_us <= 1200000000, false) AS fillable FROM g),
+made AS (SELECT mmsi, step::INTEGER AS step, prev_us + (step * gap_us) // steps AS at_us FROM (
+  SELECT mmsi, prev_us, gap_us, ceil(gap_us / 20000000)::BIGINT AS steps, unnest(generate_series(0, ceil(gap_us / 20000000)::BIGINT - 1)) AS step FROM gaps WHERE fillable))"""
+
+
+def _tracks(spark, sf_dir):
+    return interpolate.repeated_vessels(views.ais(spark, sf_dir))
+
+
+@query(_GAPS_SQL + " SELECT event_id, mmsi, gap_us, fillable FROM gaps")
+def vessel_gap_lag(spark, sf_dir):
+    return interpolate.gaps(_tracks(spark, sf_dir)).select("event_id", "mmsi", "gap_us", "fillable")
+
+
+@query(_GAPS_SQL + " SELECT mmsi, step, at_us FROM made")
+def interpolate_steps(spark, sf_dir):
+    return interpolate.exact_steps(interpolate.gaps(_tracks(spark, sf_dir)))
+
+
+def _filled_sql(place: str) -> str:
+    sides = ", ".join(
+        f"last_value(CASE WHEN {c} IS NOT NULL THEN {place} END IGNORE NULLS) OVER a AS p0_{c}, last_value({c} IGNORE NULLS) OVER a AS v0_{c}, "
+        f"first_value(CASE WHEN {c} IS NOT NULL THEN {place} END IGNORE NULLS) OVER b AS p1_{c}, first_value({c} IGNORE NULLS) OVER b AS v1_{c}"
+        for c in ("x", "y", "sog")
+    )
+    values = ", ".join(
+        f"round(1e-9::DOUBLE + CASE WHEN {c} IS NOT NULL THEN {c} WHEN p0_{c} IS NULL THEN NULL WHEN p1_{c} IS NULL THEN v0_{c} "
+        f"ELSE v0_{c} + (v1_{c} - v0_{c}) * coalesce(({place} - p0_{c}) / nullif(p1_{c} - p0_{c}, 0), 0) END, 6) AS {c}"
+        for c in ("x", "y", "sog")
+    )
+    return f"""{_GAPS_SQL}, u AS (SELECT mmsi, at_us, false AS is_interpolated, id, x, y, sog FROM many UNION ALL SELECT mmsi, at_us, true, NULL, NULL, NULL, NULL FROM made),
+o AS (SELECT *, row_number() OVER (PARTITION BY mmsi ORDER BY at_us, is_interpolated)::DOUBLE AS rn FROM u),
+s AS (SELECT *, {sides}, last_value(id IGNORE NULLS) OVER a AS last_id FROM o
+  WINDOW a AS (PARTITION BY mmsi ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), b AS (PARTITION BY mmsi ORDER BY rn ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
+SELECT mmsi, at_us, is_interpolated, CASE WHEN is_interpolated THEN last_id ELSE id END AS id, {values} FROM s"""
+
+
+def _filled(spark, sf_dir, method):
+    m = _tracks(spark, sf_dir).select("mmsi", "at_us", "id", "x", "y", "sog")
+    d = interpolate.interpolated(m, ("x", "y", "sog"), ("id",), method=method)
+    return d.select("mmsi", "at_us", "is_interpolated", "id", *[_rounded(c) for c in ("x", "y", "sog")])
+
+
+@query(_filled_sql("rn"))
+def interpolate_values(spark, sf_dir):
+    return _filled(spark, sf_dir, "position")
+
+
+@query(_filled_sql("at_us::DOUBLE"))
+def interpolate_time_weighted(spark, sf_dir):
+    return _filled(spark, sf_dir, "time")
+
+
+# -- clips ----------------------------------------------------------------------------------------
+
+
+@query(_cascade_sql() + """, i AS (SELECT *, row_number() OVER (PARTITION BY kind, inclusion_radius ORDER BY begin_us, end_us)::INTEGER - 1 AS clip_index FROM intervals),
+w AS (SELECT event_id AS wav_id, epoch_us(ts) AS wav_us FROM events),
+p AS (SELECT kind, inclusion_radius, clip_index, wav_id, greatest(0, floor((begin_us - wav_us) / 1000)::BIGINT) AS start_ms, least(300000, floor((end_us - wav_us) / 1000)::BIGINT) AS stop_ms
+  FROM i JOIN w ON wav_us BETWEEN begin_us - 300000000 AND end_us)
+SELECT * FROM p WHERE stop_ms - start_ms >= 3200""")
+def clip_overlap(spark, sf_dir):
+    i = clips.numbered(_intervals(spark, sf_dir), ("kind", "inclusion_radius"))
+    d = clips.overlaps(i, views.recordings(spark, sf_dir).drop("file"))
+    return d.select("kind", "inclusion_radius", "clip_index", "wav_id", F.col("start_ms").cast("long").alias("start_ms"), F.col("stop_ms").cast("long").alias("stop_ms"))
+
+
+_SEGMENTS_SQL = f"""WITH {AIS_SQL}, f AS (SELECT * FROM (SELECT * REPLACE (coalesce(type_and_cargo, max(type_and_cargo) OVER (PARTITION BY file, mmsi)) AS type_and_cargo) FROM ais) WHERE type_and_cargo IS NOT NULL),
+n AS (SELECT *, CASE WHEN mmsi = lag(mmsi) OVER (PARTITION BY file ORDER BY at_us) THEN 0 ELSE 1 END AS new FROM f),
+r AS (SELECT *, sum(new) OVER (PARTITION BY file ORDER BY at_us) AS run FROM n),
+g AS (SELECT file, run, arg_min(mmsi, at_us) AS mmsi, arg_min(type_and_cargo, at_us) AS type_and_cargo, min(at_us) AS begin_us, max(at_us) AS last_us FROM r GROUP BY file, run),
+segments AS (SELECT file, mmsi, type_and_cargo, begin_us, end_us FROM (SELECT *, coalesce(lead(begin_us) OVER (PARTITION BY file ORDER BY run), last_us) AS end_us FROM g) WHERE begin_us < end_us)"""
+
+
+def _segments(spark, sf_dir):
+    return clips.collapse(cleaning.fill_type(views.ais(spark, sf_dir)))
+
+
+@query(_SEGMENTS_SQL + " SELECT * REPLACE (file::VARCHAR AS file) FROM segments")
+def segment_collapse(spark, sf_dir):
+    return _segments(spark, sf_dir).withColumn("file", _day())
+
+
+_MATCH_SQL = _SEGMENTS_SQL + """ SELECT s.file::VARCHAR AS file, s.mmsi, s.begin_us, s.end_us, w.event_id AS wav_id FROM segments s JOIN ais w ON w.file = s.file AND w.at_us > s.begin_us - 300000000 AND w.at_us <= s.end_us
+WHERE NOT (s.type_and_cargo BETWEEN 70 AND 79 OR s.type_and_cargo IN (52, 37))"""
+
+
+@query(_MATCH_SQL)
+def ship_segment_match(spark, sf_dir):
+    d = clips.segment_recordings(_segments(spark, sf_dir), views.recordings(spark, sf_dir))
+    return d.select(_day(), "mmsi", "begin_us", "end_us", "wav_id")
+
+
+@query(_MATCH_SQL + " AND s.begin_us >= w.at_us AND s.begin_us <= w.at_us + 300000000")
+def ship_segment_start(spark, sf_dir):
+    d = clips.segment_recordings(_segments(spark, sf_dir), views.recordings(spark, sf_dir), begin_in_recording=True)
+    return d.select(_day(), "mmsi", "begin_us", "end_us", "wav_id")
+
+
+@query(f"WITH {META_SQL} SELECT row_id, label FROM meta WHERE MMSI IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
+def clip_semi(spark, sf_dir):
+    chosen = table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("MMSI"))
+    return views.meta(spark, sf_dir).join(chosen, "MMSI", "left_semi").select("row_id", "label")
+
+
+# -- metadata -------------------------------------------------------------------------------------
+
+_WATER_COLUMNS = ("t1", "c1", "p1", "sal", "sv")
+
+
+@query(f"WITH {WATER_SQL}, day AS (SELECT at_us, count(*) AS n, " + ", ".join(f"sum({c}) AS {c}" for c in _WATER_COLUMNS) + " FROM water GROUP BY at_us) SELECT o_orderkey AS row_id, " + ", ".join(f"round(sum({c}) / sum(n) + 1e-9::DOUBLE, 6) AS {c}" for c in _WATER_COLUMNS) + " FROM orders LEFT JOIN day ON at_us BETWEEN epoch_us(o_orderdate) AND epoch_us(o_orderdate) + 259200000000 GROUP BY o_orderkey")
+def ctd_mean(spark, sf_dir):
+    i = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("row_id"), times.epoch_us(F.col("o_orderdate")).alias("begin_us")).withColumn("end_us", F.col("begin_us") + 3 * 86_400 * times.SECOND)
+    d = metadata.mean_readings(i, views.water(spark, sf_dir), _WATER_COLUMNS, 3 * 86_400 * times.SECOND, ("row_id",))
+    return d.select("row_id", *[_rounded(c) for c in _WATER_COLUMNS])
+
+
+@query(f"WITH {WATER_SQL} SELECT l_orderkey, l_linenumber, " + ", ".join(f"round(({c} - min({c}) OVER ()) / nullif(max({c}) OVER () - min({c}) OVER (), 0), 6) AS {c}_norm" for c in _WATER_COLUMNS) + " FROM water")
+def ctd_minmax_norm(spark, sf_dir):
+    d = metadata.normalised(views.water(spark, sf_dir), _WATER_COLUMNS)
+    return d.select("l_orderkey", "l_linenumber", *[F.round(f"{c}_norm", 6).alias(f"{c}_norm") for c in _WATER_COLUMNS])
+
+
+_CLASS_SQL = "CASE WHEN class_code = 0 THEN 'background' WHEN class_code = 52 THEN 'tug' WHEN class_code BETWEEN 60 AND 69 THEN 'passengership' WHEN class_code BETWEEN 70 AND 79 THEN 'cargo' WHEN class_code BETWEEN 80 AND 89 THEN 'tanker' ELSE 'other' END"
+
+
+@query(f"WITH {META_SQL} SELECT row_id, class_code, {_CLASS_SQL} AS label FROM meta")
+def class_labels(spark, sf_dir):
+    return metadata.labelled(views.meta(spark, sf_dir)).select("row_id", "class_code", "label")
+
+
+@query(f"WITH {AIS_SQL} SELECT file::VARCHAR AS file, (arg_min(struct_pack(t := type_and_cargo, m := mmsi), at_us)).t AS type_and_cargo, (arg_min(struct_pack(t := type_and_cargo, m := mmsi), at_us)).m AS mmsi FROM ais WHERE distance <= 3000 GROUP BY file")
+def first_in_range(spark, sf_dir):
+    return metadata.first_vessel(views.ais(spark, sf_dir), ("file",), 3000).withColumn("file", _day())
+
+
+@query(f"WITH {AIS_SQL} SELECT event_id, mmsi, c_name AS ship_name, c_nationkey AS flag FROM ais LEFT JOIN customer ON mmsi = c_custkey")
+def ship_enrichment(spark, sf_dir):
+    ships = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("mmsi"), F.col("c_name").alias("ship_name"), F.col("c_nationkey").alias("flag"))
+    return metadata.enriched(views.ais(spark, sf_dir).select("event_id", "mmsi"), ships)
+
+
+_REPORT_CLASSES = (*PRIORITIES, "6-EMPTY")
+
+
+@query(f"""WITH {META_SQL}, c AS (SELECT unnest({list(_REPORT_CLASSES)}) AS label), s AS (SELECT c.label, count(DISTINCT MMSI) AS n_vessels, min(date) AS first_date, max(date) AS last_date, coalesce(sum(duration_us), 0)::BIGINT AS total_us, count(row_id) AS n_clips FROM c LEFT JOIN meta USING (label) GROUP BY c.label)
+SELECT *, (total_us // 86400000000) || ' days ' || lpad((total_us // 1000000 % 86400 // 3600)::VARCHAR, 2, '0') || ':' || lpad((total_us // 1000000 % 3600 // 60)::VARCHAR, 2, '0') || ':' || lpad((total_us // 1000000 % 60)::VARCHAR, 2, '0') AS duration FROM s""")
+def class_report(spark, sf_dir):
+    return report.class_report(views.meta(spark, sf_dir), _REPORT_CLASSES)
+
+
+# -- sampling -------------------------------------------------------------------------------------
+
+_TOTALS_SQL = f"{META_SQL}, totals AS (SELECT label, sum(duration_us)::BIGINT AS total_us, count(*) AS n FROM meta GROUP BY label)"
+_ORDER_SQL = "(row_id * 2654435761 + 42) % 2147483648, row_id"
+
+
+@query(f"""WITH {_TOTALS_SQL}, b AS (SELECT *, coalesce(sum(duration_us // 1000000) OVER (PARTITION BY label ORDER BY row_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM meta)
+SELECT row_id, label, unnest(generate_series(0, duration_us // 1000000 - 1, 5)) AS sub_init FROM b WHERE duration_us >= 1000000 AND before * 1000000 <= (SELECT max(total_us) FROM totals WHERE label <> '5-LOW')""")
+def chunk_metadata(spark, sf_dir):
+    return sampling.chunks(views.meta(spark, sf_dir), PRIORITIES, 5, QUIET).select("row_id", "label", "sub_init")
+
+
+@query(f"""WITH {_TOTALS_SQL}, b AS (SELECT *, coalesce(sum(duration_us) OVER (PARTITION BY label ORDER BY row_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, row_number() OVER (PARTITION BY label ORDER BY row_id) AS rn FROM meta)
+SELECT row_id, label, duration_us FROM b WHERE before < (SELECT min(total_us) FROM totals) OR rn = 1""")
+def undersample(spark, sf_dir):
+    return sampling.undersampled(views.meta(spark, sf_dir), PRIORITIES).select("row_id", "label", "duration_us")
+
+
+@query(f"""WITH {_TOTALS_SQL}, t AS (SELECT least(2 * min(total_us), max(total_us)) AS target FROM totals),
+b AS (SELECT *, coalesce(sum(duration_us) OVER (PARTITION BY label ORDER BY {_ORDER_SQL} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM meta)
+SELECT row_id, label, unnest(generate_series(0, ((target - before - 1) // total_us)::BIGINT)) AS copy FROM b JOIN totals USING (label) CROSS JOIN t WHERE before < target""")
+def oversample(spark, sf_dir):
+    return sampling.oversampled(views.meta(spark, sf_dir), PRIORITIES).select("row_id", "label", "copy")
+
+
+@query(f"""WITH {_TOTALS_SQL}, b AS (SELECT *, coalesce(sum(duration_us) OVER (ORDER BY {_ORDER_SQL} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM meta WHERE label = '5-LOW')
+SELECT row_id, label FROM b WHERE before <= (SELECT max(total_us) FROM totals WHERE label <> '5-LOW') UNION ALL SELECT row_id, label FROM meta WHERE label <> '5-LOW'""")
+def background_cap(spark, sf_dir):
+    return sampling.capped_background(views.meta(spark, sf_dir), PRIORITIES, QUIET).select("row_id", "label")
+
+
+@query(f"""WITH {_TOTALS_SQL}, s AS (SELECT min(n) * 5 AS base FROM totals), p AS (SELECT row_id, label, row_number() OVER (ORDER BY {_ORDER_SQL}) - 1 AS position FROM meta)
+SELECT row_id, label, CASE WHEN position < floor(base * 0.1) THEN 'test' WHEN position < floor(base * 0.1) + floor(base * 0.2) THEN 'validation' ELSE 'train' END AS split FROM p CROSS JOIN s""")
+def split_dataset(spark, sf_dir):
+    return sampling.split(views.meta(spark, sf_dir), PRIORITIES).select("row_id", "label", "split")
+
+
+# -- signals --------------------------------------------------------------------------------------
+
+_FLUCTUATION_SQL = """e AS (SELECT vec_id, label, embedding::DOUBLE[] AS s, len(embedding) AS n FROM embeddings),
+i AS (SELECT vec_id, label, s, n, unnest(generate_series(1, n)) AS i FROM e),
+k AS (SELECT vec_id, label, s[i] AS v, list_sort([s[CASE WHEN i + d < 1 THEN 1 - (i + d) WHEN i + d > n THEN 2 * n + 1 - (i + d) ELSE i + d END] for d in [-2, -1, 0, 1, 2]])[3] AS m FROM i),
+f AS (SELECT vec_id, label, stddev_pop(v - m) AS std FROM k GROUP BY vec_id, label)"""
+
+
+def _fluctuations(spark, sf_dir):
+    return table(spark, sf_dir, "embeddings").select("vec_id", "label", signal.fluctuation(F.col("embedding"), 5).alias("std"))
+
+
+@query(f"WITH {_FLUCTUATION_SQL} SELECT vec_id, label, round(std, 6) AS std FROM f")
+def fluctuation_std(spark, sf_dir):
+    return _fluctuations(spark, sf_dir).withColumn("std", F.round("std", 6))
+
+
+@query(f"""WITH {_FLUCTUATION_SQL}, r AS (SELECT vec_id, label, round(std, 6) AS std FROM f)
+SELECT vec_id, label, std, std >= (SELECT round(avg(std), 9) FROM r WHERE label = 0) AS valid FROM r WHERE label <> 0 UNION ALL SELECT vec_id, label, std, true FROM r WHERE label = 0""")
+def noise_threshold(spark, sf_dir):
+    d = fluctuation_std(spark, sf_dir)
+    quiet = d.where("label = 0")
+    alpha = 0.0
+    limit = quiet.agg(F.round(F.avg("std") + alpha * F.coalesce(F.stddev_pop("std"), F.lit(0.0)), 9).alias("limit"))
+    loud = d.where("label <> 0").crossJoin(F.broadcast(limit)).select("vec_id", "label", "std", (F.col("std") >= F.col("limit")).alias("valid"))  # one row
+    return loud.unionByName(quiet.withColumn("valid", F.lit(True)))
+
+
+# -- text and bytes -------------------------------------------------------------------------------
+
+
+@query("SELECT event_id, date_trunc('millisecond', ts) AS ts, '!' || event_type AS payload FROM events")
+def line_filter_split(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select("event_id", F.concat(times.to_compact(F.col("ts")), F.lit(" !"), F.col("event_type")).alias("value"))
+    bad = e.select("event_id", F.lit("20240101T000000 !broken").alias("value"))
+    return text.split_lines(e.unionByName(bad)).select("event_id", "ts", "payload")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_shipdate AS date, l_quantity AS t1, l_discount AS c1, l_extendedprice AS p1, l_tax AS sal, l_quantity * l_tax AS sv FROM lineitem")
+def ctd_xml_parse(spark, sf_dir):
+    w = views.water(spark, sf_dir)
+    body = F.concat(*[F.concat(F.lit(f"<{c}>"), F.col(c).cast("string"), F.lit(f"</{c}>")) for c in _WATER_COLUMNS])
+    line = F.concat(times.to_compact(F.col("date")), F.lit(' <?xml version="1.0"?><datapacket><data>'), body, F.lit("</data></datapacket>"))
+    lines = w.select("l_orderkey", "l_linenumber", line.alias("value"))
+    return text.parse_water(lines).select("l_orderkey", "l_linenumber", "date", *_WATER_COLUMNS)
+
+
+def _encoded(batches):
+    """Type 1 sentences of (event_id, mmsi, x, y, sog), for the decoder to read."""
+    for b in batches:
+        out = []
+        for r in b.to_pylist():
+            sog = 1023 if r["sog"] is None else int(r["sog"])
+            fields = [(1, 6), (0, 2), (r["mmsi"], 30), (0, 4), (0, 8), (sog, 10), (0, 1), (round(r["x"] * nmea.DEGREE) & 0xFFFFFFF, 28), (round(r["y"] * nmea.DEGREE) & 0x7FFFFFF, 27), (0, 12), (511, 9), (0, 31)]
+            bits = 0
+            for v, n in fields:
+                bits = bits << n | v
+            body = "AIVDM,1,1,,A," + "".join(chr(v + 48 if v < 40 else v + 56) for v in (bits >> s & 63 for s in range(162, -1, -6))) + ",0"
+            out.append(f"!{body}*{nmea.checksum(body):02X}")
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], ["event_id", "payload"])
+
+
+@query(f"WITH {AIS_SQL} SELECT event_id, 1::INTEGER AS id, mmsi, round(x, 5) AS x, round(y, 5) AS y, sog FROM ais")
+def nmea_decode(spark, sf_dir):
+    lines = views.ais(spark, sf_dir).select("event_id", "mmsi", "x", "y", "sog").mapInArrow(_encoded, "event_id long, payload string")
+    d = nmea.messages(lines.withColumn("file", F.lit("f")), at="event_id")
+    return d.select("event_id", "id", "mmsi", F.round("x", 5).alias("x"), F.round("y", 5).alias("y"), F.when(F.col("sog") < 1023, F.col("sog")).alias("sog"))
+
+
+def _as_wav(batches):
+    import numpy as np
+
+    for b in batches:
+        wavs = [audio.to_wav((np.clip(np.array(v, float), -1, 1) * 1000).astype("<i2").tobytes(), 1000) for v in b.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(wavs, pa.binary())], ["vec_id", "content"])
+
+
+@query("SELECT vec_id, len(embedding) / 1000.0::DOUBLE AS duration_sec, 1000::INTEGER AS sample_rate, 0.02::DOUBLE AS clip_sec FROM embeddings")
+def wav_clip(spark, sf_dir):
+    wavs = table(spark, sf_dir, "embeddings").select("vec_id", "embedding").mapInArrow(_as_wav, "vec_id long, content binary")
+    d = wavs.withColumn("whole", audio.probe(F.col("content"))).withColumn("part", audio.probe(audio.clip(F.col("content"), F.lit(10), F.lit(30))))
+    return d.select("vec_id", F.col("whole.duration_sec").alias("duration_sec"), F.col("whole.sample_rate").alias("sample_rate"), F.col("part.duration_sec").alias("clip_sec"))
+
+
+@query(f"WITH {AIS_SQL} SELECT '{{\"type\":\"Feature\",\"geometry\":{{\"type\":\"Point\",\"coordinates\":[' || round(k / 500.0 * 1000)::INTEGER || ',' || event_id || ']}},\"properties\":{{\"mmsi\":' || mmsi || '}}}}' AS feature FROM ais")
+def map_points(spark, sf_dir):
+    d = views.ais(spark, sf_dir).select("mmsi", F.round(F.col("k") / 500.0 * 1000).cast("int").cast("long").alias("x"), F.col("event_id").alias("y"))
+    none = spark.range(0).select(F.lit("").alias("station"), F.lit(0).cast("long").alias("sx"), F.lit(0).cast("long").alias("sy"))
+    return report.map_features(d, none, labels.RADII)
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_SQL)

@@ -1 +1 @@
-
+"""Streaming forms of the time-bin operators."""
