@@ -199,10 +199,11 @@ class _Sample:
 def _adam(net: Net, features, windows, masks, labels, weights, epochs, rate, seed):
     rng, m, v, step = np.random.default_rng(seed), {}, {}, 0
     row, bucket, first, size = features
+    batch = int(np.clip(len(windows) // 24, 32, 256))
     for _ in range(epochs):
         order = rng.permutation(len(windows))
-        for i in range(0, len(order), 256):
-            b = order[i : i + 256]
+        for i in range(0, len(order), batch):
+            b = order[i : i + batch]
             used, index = np.unique(windows[b], return_inverse=True)
             own = size[used]
             pick = np.repeat(first[used], own) + np.arange(int(own.sum())) - np.repeat(np.cumsum(own) - own, own)
