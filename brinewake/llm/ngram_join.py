@@ -3,18 +3,21 @@ r"""N-gram Jaccard join by PartEnum signatures, exact at the threshold.
 A document's set is its distinct five-word shingles.  Sets of sizes a <= c with Jaccard similarity
 t differ in at most (a + c)(1 - t)/(1 + t) shingles, and c <= a/t.  Sizes fall into bands of ratio
 1/t; a set joins its own band and the next, so similar sets meet in a band.  In a band whose sets
-differ in at most k shingles, the domain is cut into n > k parts by hash; similar sets agree in at
-least n - k parts, and each non-empty part's projection is one signature.  A set with n - k empty
-parts or more could agree in empty parts only; it also signs with its prefix (the n - ceil(t n) + 1
-least shingles), which two such sets share if they are similar.  No link is lost.
+differ in at most k shingles, the domain is cut into n > k parts by hash; a set that differs from
+its similar sets in at most h <= k shingles agrees with them in at least n - h parts.  If more than
+h of its parts hold two shingles or more, one of those parts agrees: their projections are its
+signatures (a frequent line or passage then makes no signature of one common shingle).  Otherwise
+it also signs with its parts of one shingle, and if n - h parts or more are empty, with its prefix
+(the size - ceil(t size) + 1 least shingles): two such sets share one of those if they are similar.
+No link is lost.
 
 Equal sets are one node.  Signatures travel in binary blocks, 7 bytes each.  Sets with a signature
 in common form a bucket; each bucket's first document is compared with the others (pairs grow with
 the rows, not their square).  Buckets that then still hold several components are searched for pairs
 between components; a parity sketch, whose distance never exceeds that of the sets, rules out nearly
-all of them without texts.  A large such bucket is first cut again by signatures of a second
-partitioning.  Every candidate is verified on the whole sets; links become components by
-large-star/small-star rounds.
+all of them without texts.  A large such bucket is searched as pairs of bounded blocks of its
+members, so that no task holds it whole.  Every candidate is verified on the whole sets; links
+become components by large-star/small-star rounds.
 
 Defined results: a null or empty text has no shingles, is linked with nothing and is its own
 component; a text of one to four words has its whole sequence as its only shingle; rows that share an
@@ -24,7 +27,6 @@ id are one document; a null id has a null component; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import math
 
 import numpy as np
 import pyarrow as pa
@@ -56,15 +58,15 @@ class Bands:
                 self.upper.append((self.upper[-1] + 1) * 100 // self.percent)
             most = self.upper[band]
             k = 2 * most * (100 - self.percent) // (100 + self.percent)
-            least, n = self.upper[max(band - 2, 0)] + 1, k + 1
-            while n < 2 * k + 8:
-                empty = n * math.exp(-least / n)
-                if n - k >= 1 + empty + 3 * math.sqrt(empty):
-                    break
-                n += 1
+            n = max(k + 2, -(-135 * (k + 1) // 100))
             self._plan[band] = k, n
         return self._plan[band]
 
+    def reach(self, size: int, band: int) -> int:
+        """The greatest difference between a set of ``size`` and a similar one in the band."""
+        most = min(self.upper[band], size * 100 // self.percent)
+        return (size + most) * (100 - self.percent) // (100 + self.percent)
+
 
 def sets_of(data: np.ndarray, offsets: np.ndarray, words: int) -> list[np.ndarray]:
     """Each text's sorted distinct shingle hashes."""
@@ -88,7 +90,7 @@ def sketch_bits(bands: Bands, band: int) -> int:
     return max(64, 1 << (2 * bands.upper[band] - 1).bit_length())
 
 
-def signatures(values: np.ndarray, bands: Bands, seed: int) -> np.ndarray:
+def signatures(values: np.ndarray, bands: Bands) -> np.ndarray:
     """All signatures of one set."""
     size, out, risky = len(values), [], False
     band = bands.of(size)
@@ -96,14 +98,17 @@ def signatures(values: np.ndarray, bands: Bands, seed: int) -> np.ndarray:
         k, n = bands.plan(b)
         if not k:
             continue
-        x = vectext.mix(values ^ np.uint64((seed * 1_000_003 + b + 1) * 0x9E3779B97F4A7C15 & vectext._MASK))
+        x = vectext.mix(values ^ np.uint64((b + 1) * 0x9E3779B97F4A7C15 & vectext._MASK))
         part = ((x >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
-        held = np.bincount(part, minlength=n) > 0
+        count, h = np.bincount(part, minlength=n), bands.reach(size, b)
+        held = count > 1
+        if int(held.sum()) <= h:
+            held = count > 0
         y = vectext.mix(x)
         low = np.bincount(part, (y & np.uint64(0x3FFFFFF)).astype(np.float64), n)[held]
         high = np.bincount(part, (y >> np.uint64(38)).astype(np.float64), n)[held]
         out.append(vectext.mix(low.astype(np.uint64) * vectext._ORDER[0] + high.astype(np.uint64) * vectext._ORDER[1] + (np.flatnonzero(held) + (b << 40)).astype(np.uint64)))
-        risky |= n - int(held.sum()) >= n - k
+        risky |= int((count == 0).sum()) >= n - h
     if risky:
         out.append(vectext.mix(values[: size - -(-bands.percent * size // 100) + 1] ^ vectext._ORDER[2]))
     return np.concatenate(out) if out else np.empty(0, np.uint64)
@@ -126,12 +131,12 @@ def set_table(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return map_batches(docs, batch, "doc long, n long, key binary, band int, own binary, next binary")
 
 
-def signature_blocks(docs: DataFrame, parts: int, words: int, percent: int, seed: int = 0) -> DataFrame:
-    """(part, ids, sigs) blocks; ``docs`` is (doc, text) and may have ``within`` (array of buckets).
+def signature_blocks(docs: DataFrame, parts: int, words: int, percent: int) -> DataFrame:
+    """(part, ids, sigs, refs) blocks; ``docs`` is (doc, text).
 
     A task signs each set once, so that a large group of copies costs one document a task.
     """
-    bands, nested = Bands(percent), "within" in docs.columns
+    bands = Bands(percent)
 
     def run(batches):
         seen: set[bytes] = set()
@@ -139,14 +144,11 @@ def signature_blocks(docs: DataFrame, parts: int, words: int, percent: int, seed
             for first, end, data, offsets in vectext.chunks(b.column(1)):
                 sigs, owners = [], []
                 names = np.array(b.column(0)[first:end].to_pylist(), np.int64)
-                inside = b.column(2)[first:end].to_pylist() if nested else None
                 for i, s in enumerate(sets_of(data, offsets, words)):
                     if not len(s) or (digest := hashlib.blake2b(s.tobytes(), digest_size=16).digest()) in seen:
                         continue
                     seen.add(digest)
-                    own = signatures(s, bands, seed)
-                    if nested:
-                        own = np.concatenate([vectext.mix(own ^ np.uint64(w & vectext._MASK)) for w in inside[i]])
+                    own = signatures(s, bands)
                     sigs.append(own)
                     owners.append(np.full(len(own), i, np.int64))
                 if not sigs:
@@ -280,12 +282,13 @@ def _column_sets(column: pa.Array, words: int) -> list[np.ndarray]:
 def cross_pairs(members: DataFrame, percent: int, parts: int) -> DataFrame:
     """Pairs of different components in a bucket that sketches don't rule out.
 
-    ``members``: (bucket, doc, component, n, band, own, next).
+    ``members``: (bucket, block, doc, component, n, band, own, next).
     """
 
     def run(batches):
+        told: set[tuple[int, int]] = set()  # similar sets meet in many buckets
         for _, (_, doc, comp, n, band, own, after) in _groups(batches, range(7)):
-            left, right = [], []
+            found = set()
             doc, comp, n, band = np.array(doc, np.int64), np.array(comp, np.int64), np.array(n), np.array(band)
             for p in np.unique(band):
                 # sets of band p with those of p, by p's sketches; with those of p + 1, by p + 1's
@@ -304,12 +307,16 @@ def cross_pairs(members: DataFrame, percent: int, parts: int) -> DataFrame:
                             continue
                         apart = _BIT[a[r] ^ b[at]].sum(1, dtype=np.int64)
                         at = at[apart * (100 + percent) <= (n[j[at]] + n[k]) * (100 - percent)]
-                        left += [min(doc[k], doc[j[z]]) for z in at]
-                        right += [max(doc[k], doc[j[z]]) for z in at]
-            if left:
-                yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
-
-    dealt = members.select("bucket", "doc", "component", *_SIDE).repartition(parts, "bucket").sortWithinPartitions("bucket")
+                        found |= {(int(min(doc[k], x)), int(max(doc[k], x))) for x in doc[j[at]]}
+            found -= told
+            if len(told) > 1_000_000:
+                told.clear()
+            told |= found
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*sorted(found), strict=True)], ["a", "b"])
+
+    key = F.struct("bucket", "block").alias("key")
+    dealt = members.select(key, "doc", "component", *_SIDE).repartition(parts, "key").sortWithinPartitions("key")
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
@@ -321,11 +328,10 @@ def _mixed(rows: DataFrame, links: DataFrame) -> DataFrame:
     return rows.join(mixed, "bucket")
 
 
-def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, per_part: int = 1_000_000, large_bucket: int = 1000) -> DataFrame:
+def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, per_part: int = 1_000_000, large_bucket: int = 2000) -> DataFrame:
     """(id, n_shingles, component_id) for every row of ``docs``.
 
-    ``per_part``: signatures that one task sorts; ``large_bucket``: members beyond which a bucket is
-    cut by a second partitioning before its pairs are searched.
+    ``per_part``: signatures that one task sorts; ``large_bucket``: members that one task holds.
     """
     spark = docs.sparkSession
     d = docs.select(F.col(id_col).cast("long").alias("doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
@@ -337,13 +343,12 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     named = sets.where(F.col("doc").isNotNull() & F.col("key").isNotNull()).dropDuplicates(["doc"])
     links = cut(verified(near_pairs(rows.where("leader <> doc").select(F.col("leader").alias("a"), F.col("doc").alias("b")).distinct(), named, percent), known, words, percent))
     mixed = cut(_mixed(rows.drop("leader"), links))
-    large = mixed.where(F.col("size") > large_bucket)
-    small = mixed.where(F.col("size") <= large_bucket).drop("size")
-    if not large.isEmpty():
-        inner = known.join(large.groupBy("doc").agg(F.collect_list("bucket").alias("within")), "doc").select("doc", "text", "within")
-        again = buckets(signature_blocks(inner, parts, words, percent, seed=1), parts).drop("leader")
-        small = small.unionByName(again.join(large.select("doc", "component").distinct(), "doc").select("doc", "bucket", "component"))
-    more = verified(cut(cross_pairs(small.join(named.select("doc", *_SIDE), "doc"), percent, parts)), known, words, percent)
+    # a bucket of several blocks is searched as pairs of blocks (i, j)
+    blocks = F.ceil(F.col("size") / large_bucket).cast("int")
+    own = F.pmod(F.xxhash64("doc"), blocks).cast("int")
+    spread = mixed.withColumns({"blocks": blocks, "i": own}).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    spread = spread.select("bucket", F.concat_ws(":", F.least("i", "j"), F.greatest("i", "j")).alias("block"), "doc", "component")
+    more = verified(cut(cross_pairs(spread.join(named.select("doc", *_SIDE), "doc"), percent, parts)), known, words, percent)
     links = cut(links.unionByName(more))
     # copies: the least id of equal sets stands for all
     first = sets.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc").alias("rep"))
