@@ -97,7 +97,9 @@ def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     d = d.select(*base, "_again", F.sort_array(F.coalesce(fast, slow, F.array().cast("array<bigint>"))).alias("_at"))
     # each repeated window covers 3 words, less what the next one covers too
     covered = F.aggregate(F.transform("_at", lambda x, i: F.least(F.lit(3).cast("long"), F.coalesce(F.get("_at", i + 1) - x, F.lit(3).cast("long")))), F.lit(0).cast("long"), lambda s, x: s + x)
-    return d.select(*base, F.when(F.col("_again") > 0, covered).otherwise(F.lit(0).cast("long")).alias("n_repeat_words"))
+    d = d.select(*base, F.when(F.col("_again") > 0, covered).otherwise(F.lit(0).cast("long")).alias("n_repeat_words"))
+    # a generator is a fence: no filter above it can pull the expressions below it into itself
+    return d.select("_row", F.inline(F.array(F.struct(*STATS))))
 
 
 def base_failed() -> Column:
@@ -203,7 +205,7 @@ def _prepared(docs: DataFrame, text_col: str, lang_col: str, source_col: str) ->
     return d.withColumns({f"x{i}": c for i, c in enumerate(features())})
 
 
-def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_group: int = 200, tail: float = 1e-12) -> DataFrame:
+def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_group: int = 200, tail: float = 1e-8) -> DataFrame:
     """One row per document: id, statistics, base_failed, distance, kept.
 
     ``tail``: the chi-square tail beyond which a document is an outlier.  Texts are read once.
@@ -214,7 +216,7 @@ def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return _verdicts(slim, estimates, min_group, chi_square_quantile(1 - tail, P)).select(id_col, *STATS, "base_failed", "kept", "distance")
 
 
-def quality_filter(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_group: int = 200, tail: float = 1e-12) -> DataFrame:
+def quality_filter(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_group: int = 200, tail: float = 1e-8) -> DataFrame:
     """The documents that pass, all columns as they were.
 
     The statistics are computed once for the fit and again for the verdict: that costs less than
