@@ -87,7 +87,7 @@ def sketch(values: np.ndarray, bands: Bands) -> list[bytes]:
 
 def sketch_bits(bands: Bands, band: int) -> int:
     bands.plan(band)
-    return max(64, 1 << (2 * bands.upper[band] - 1).bit_length())
+    return max(512, 1 << (4 * bands.upper[band] // 5).bit_length())
 
 
 def signatures(values: np.ndarray, bands: Bands) -> np.ndarray:
