@@ -228,6 +228,7 @@ def train(texts: list[str], labels: np.ndarray, shares: tuple[float, float], win
     n = [max(1, int((labels[~held] == c).sum())) for c in (0, 1)]
     z = (np.log(count[1] / n[1]) - np.log(count[0] / n[0])) / np.sqrt(1 / count[0] + 1 / count[1])
     common = np.argsort(-(count[0] + count[1]), kind="stable")[:most_words]
+    del doc, pairs, in_doc, word, fit  # as large as the sample's words
     net = Net(np.sort(sample.keys[common]), seed=seed)
     features = net.words(sample.data, sample.starts[sample.at], sample.ends[sample.at], sample.keys)
     rng = np.random.default_rng(seed + 1)
