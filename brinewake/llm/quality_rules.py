@@ -30,7 +30,10 @@ _LOW = (1 << 24) - 1
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: Least standard deviation of each transformed statistic: a statistic that is constant for most
 #: documents of a group (no symbols, no repeated lines) must not make its first deviation an outlier.
-FLOORS = (0.5, 0.15, 0.7, 0.5, 0.7)
+#: Symbols have as much room as repeated lines: alone, some nine a hundred words reach the cutoff.
+FLOORS = (0.5, 0.15, 0.5, 0.5, 0.7)
+#: Chi-square tail of the cutoff, a usual level for Mahalanobis outliers.
+TAIL = 1e-3
 P = len(FLOORS)
 PAIRS = [(i, j) for i in range(P) for j in range(i + 1)]
 
@@ -205,7 +208,7 @@ def _prepared(docs: DataFrame, text_col: str, lang_col: str, source_col: str) ->
     return d.withColumns({f"x{i}": c for i, c in enumerate(features())})
 
 
-def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_group: int = 200, tail: float = 1e-8) -> DataFrame:
+def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_group: int = 200, tail: float = TAIL) -> DataFrame:
     """One row per document: id, statistics, base_failed, distance, kept.
 
     ``tail``: the chi-square tail beyond which a document is an outlier.  Texts are read once.
@@ -216,7 +219,7 @@ def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return _verdicts(slim, estimates, min_group, chi_square_quantile(1 - tail, P)).select(id_col, *STATS, "base_failed", "kept", "distance")
 
 
-def quality_filter(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_group: int = 200, tail: float = 1e-8) -> DataFrame:
+def quality_filter(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_group: int = 200, tail: float = TAIL) -> DataFrame:
     """The documents that pass, all columns as they were.
 
     The statistics are computed once for the fit and again for the verdict: that costs less than

@@ -56,6 +56,22 @@ def test_outliers_go_and_clean_rows_stay(spark):
     assert {r["doc_id"] for r in kept.collect()} == {i for i in got if got[i]["kept"]}
 
 
+def test_tables_of_pipes_go_and_rare_symbols_stay(spark):
+    """One symbol every two or three words is the only oddity of the tables."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(600):
+        words = [f"word{k}" for k in rng.integers(0, 4000, int(np.exp(rng.normal(5, 0.5))) + 55)]
+        if i % 20 == 0:
+            words = [w + " |" * (k % (2 + i // 20 % 2) == 0) for k, w in enumerate(words)]
+        elif i % 20 == 1:
+            words[7] += "%"
+        rows.append((i, " ".join(words), "en", "s"))
+    got = {r["doc_id"]: r["kept"] for r in q.quality_report(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert not any(got[i] for i in range(0, 600, 20))
+    assert all(got[i] for i in range(600) if i % 20)
+
+
 def test_estimate_resists_a_third_of_outliers(spark):
     """MCD against numpy's mean of the clean rows: a far cluster of 20 % must not move it."""
     rng = np.random.default_rng(2)
