@@ -1,13 +1,17 @@
 r"""Line dedup by pairwise alignment.
 
-Documents that share a line (compared without case and outer white space) overlap.  Of every line
-the document of least id that has it is its first holder; a later document is aligned with the
-first holders of its lines, so the pairs grow with the lines, never with the square of a group,
-and no line is too common to count.  Two documents are aligned by patience diff: lines unique to
-both sides anchor (a line repeated within a document by its n-th occurrence), the longest increasing
-run of anchors stands, and gaps are aligned in turn.  Runs of aligned lines with at least
-``min_words`` words are deleted from the later document.  The first holder keeps its line, so no
-line is lost from the table.
+Lines are compared without case and outer white space.  A shortest run is a run of adjacent lines
+with at least ``min_words`` words that loses them without its last or without its first line; a text
+has two to a line at most.  Of every shortest run the document of least id that has it is its first
+holder; a later document is aligned with the first holders of its runs, so the pairs grow with the
+lines, never with the square of a group, and no line is too common to count.  Every block of enough
+words is covered by the shortest runs inside it, so whatever document shares it, it is found.
+
+Two documents are aligned by patience diff: lines unique to both sides anchor (a line repeated within
+a document by its n-th occurrence), the longest increasing run of anchors stands, and gaps are
+aligned in turn.  Runs of aligned lines with at least ``min_words`` words are deleted from the later
+document, and so are those that the earlier one has in another place or once for several.  Of the
+documents with a line the first keeps it, so no line is lost from the table.
 
 Defined results: a null text or null id passes unchanged; a text without words has no lines to
 share; rows that repeat an id and text are one document and are changed alike; of rows that repeat
@@ -30,21 +34,30 @@ from .common import cut, map_batches
 _NEWLINE = vectext.byte_class((0x0A, 0x0A))
 
 
-def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, key of the text, line hashes (0: no word), words a line)."""
+def line_table(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
+    """(id, key of the text, line hashes (0: no word), words a line, hashes of the shortest runs)."""
 
     def batch(b: pa.RecordBatch):
         for first, end, data, offsets in vectext.chunks(b.column(2)):
             hashes, counts, sizes = lines(data, offsets)
             at = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+            starts, ends = shortest_runs(counts, sizes, min_words)
+            runs = vectext.span_hashes(np.arange(len(hashes)), starts, ends, vectext.mix(hashes))
+            of = np.searchsorted(starts, at).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0)[first:end], b.column(1)[first:end], pa.ListArray.from_arrays(pa.array(at), pa.array(hashes.view(np.int64))), pa.ListArray.from_arrays(pa.array(at), pa.array(counts, pa.int32()))],
-                ["doc", "key", "hashes", "words"],
+                [
+                    b.column(0)[first:end],
+                    b.column(1)[first:end],
+                    pa.ListArray.from_arrays(pa.array(at), pa.array(hashes.view(np.int64))),
+                    pa.ListArray.from_arrays(pa.array(at), pa.array(counts, pa.int32())),
+                    pa.ListArray.from_arrays(pa.array(of), pa.array(runs.view(np.int64))),
+                ],
+                ["doc", "key", "hashes", "words", "runs"],
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
     known = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
-    return map_batches(known, batch, f"doc {kind}, key long, hashes array<long>, words array<int>")
+    return map_batches(known, batch, f"doc {kind}, key long, hashes array<long>, words array<int>, runs array<long>")
 
 
 def lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -71,6 +84,21 @@ def lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return hashes, counts, sizes
 
 
+def shortest_runs(counts: np.ndarray, sizes: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends, by start, of the shortest runs of texts of ``sizes`` lines: from every line
+    with a word to the nearest end, and to every such line from the nearest start."""
+    least = max(min_words, 1)
+    upto = np.concatenate(([0], np.cumsum(counts)))
+    bounds = np.concatenate(([0], np.cumsum(sizes)))
+    has = np.flatnonzero(counts)
+    text = np.searchsorted(bounds, has, "right") - 1
+    ends = np.searchsorted(upto, upto[has] + least)
+    starts = np.searchsorted(upto, upto[has + 1] - least, "right") - 1
+    down, up = ends <= bounds[text + 1], starts >= bounds[text]
+    both = np.unique(np.stack([np.concatenate((has[down], starts[up])), np.concatenate((ends[down], has[up] + 1))]), axis=1)
+    return both[0], both[1]
+
+
 def _numbered(values: list[int], low: int, high: int) -> dict[tuple[int, int], int]:
     """(line, its n-th occurrence) to position."""
     seen: dict[int, int] = {}
@@ -131,7 +159,8 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
 
 
 def common_lines(earlier: list[int], later: list[int], words: list[int], min_words: int) -> list[int]:
-    """Lines of ``later`` in aligned runs of at least ``min_words`` words."""
+    """Lines of ``later`` in aligned runs of at least ``min_words`` words, or in runs of as many that
+    stand in ``earlier`` anywhere."""
     out, run, total, before = [], [], 0, None
     for i, j in [*patience(earlier, later), (-9, -9)]:
         if before != (i - 1, j - 1):
@@ -142,14 +171,27 @@ def common_lines(earlier: list[int], later: list[int], words: list[int], min_wor
         if j >= 0:
             run.append(j)
             total += words[j]
-    return out
+    here, gone = set(earlier), set(out)
+    if any(v and v in here and j not in gone for j, v in enumerate(later)):
+        # a line that is not in ``later`` has no words here: no run across it can be one of ``later``
+        count = {v: n for v, n in zip(later, words, strict=True) if v}
+        known = {tuple(earlier[s:e]) for s, e in _runs([count.get(v, 0) for v in earlier], min_words)}
+        for s, e in _runs(words, min_words):
+            if tuple(later[s:e]) in known:
+                gone.update(j for j in range(s, e) if later[j])
+    return sorted(gone)
+
+
+def _runs(counts: list[int], min_words: int) -> list[tuple[int, int]]:
+    starts, ends = shortest_runs(np.array(counts, np.int64), np.array([len(counts)]), min_words)
+    return list(zip(starts.tolist(), ends.tolist(), strict=True))
 
 
 def deletions(table: DataFrame, min_words: int) -> DataFrame:
     """(doc, key, deleted: line positions) from a line table."""
-    own = table.select("doc", F.explode(F.array_distinct("hashes")).alias("line")).where("line <> 0")
-    first = own.groupBy("line").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first <> last").drop("last")
-    pairs = own.join(first, "line").where("doc <> first").select("doc", "first").distinct()
+    own = table.select("doc", F.explode(F.array_distinct("runs")).alias("run"))
+    first = own.groupBy("run").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first <> last").drop("last")
+    pairs = own.join(first, "run").where("doc <> first").select("doc", "first").distinct()
     sides = pairs.join(table.select(F.col("doc").alias("first"), F.col("hashes").alias("earlier")), "first").join(table, "doc")
 
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
@@ -164,7 +206,7 @@ def deletions(table: DataFrame, min_words: int) -> DataFrame:
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 8) -> DataFrame:
     """All rows and columns of ``docs``, with common blocks deleted from later documents' texts, and
     ``lines_deleted`` (int)."""
-    gone = deletions(cut(line_table(docs, id_col, text_col)), min_words)
+    gone = deletions(cut(line_table(docs, id_col, text_col, min_words)), min_words)
     d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
     d = d.withColumns({"_doc": F.col(f"_row.`{id_col}`"), "_key": F.xxhash64(F.col(f"_row.`{text_col}`"))})
     gone = gone.select(F.col("doc").alias("_doc"), F.col("key").alias("_key"), F.col("deleted").alias("_deleted"))

@@ -115,6 +115,38 @@ def test_lines_go_from_later_documents_and_none_is_lost(spark):
     assert got == {1: texts[1], 2: own(2), 3: own(3), 4: own(4), 5: [""]}
 
 
+def test_passages_of_lines_first_held_elsewhere_go(spark):
+    a, b, c = (f"five words of line {x}" for x in "abc")
+    long = [f"five words of line {i}" for i in range(12)]
+    texts = {1: [a], 2: [b], 3: [c], 4: [c, b, a], 10: [a, b, c], 20: ["own line", a, b, c], **{30 + i: [x] for i, x in enumerate(long)}, 50: long, 60: [*long, "own"]}
+    d = spark.createDataFrame([(i, "\n".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"].split("\n") for r in line_dedup.dedup_lines(d).collect()}
+    assert got == {**texts, 20: ["own line"], 60: ["own"]}
+
+
+def test_every_block_of_any_earlier_document_goes(spark):
+    """All pairs of documents, all runs of lines, blank ones too."""
+    rng = random.Random(7)
+    pool = ["", " ", "a b", "c d e", "f g h i j", "k l m n o p q r", "s", *(f"only {i} x" for i in range(12))]
+    texts = {i: [rng.choice(pool) for _ in range(rng.randrange(1, 9))] for i in range(60)}
+    for i in range(60, 90):
+        block = texts[rng.randrange(60)] + texts[rng.randrange(60)]
+        texts[i] = [f"own {i}", *block[rng.randrange(4) :], "s"]
+    lines = {i: [x.strip() for x in t] for i, t in texts.items()}
+    want = {}
+    for i, later in lines.items():
+        gone = set()
+        for s in range(len(later)):
+            for e in range(s + 1, len(later) + 1):
+                if sum(len(x.split()) for x in later[s:e]) >= 8 and any(later[s:e] == lines[k][p : p + e - s] for k in range(i) for p in range(len(lines[k]))):
+                    gone |= {j for j in range(s, e) if later[j]}
+        want[i] = [x for j, x in enumerate(texts[i]) if j not in gone]
+    d = spark.createDataFrame([(i, "\n".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(d).collect()}
+    assert got == {i: "\n".join(t) for i, t in want.items()}
+    assert any(len(want[i]) < len(texts[i]) for i in want)
+
+
 def test_dedup_edges(edge, nothing):
     out = line_dedup.dedup_lines(edge)
     assert out.columns == [*edge.columns, "lines_deleted"]
