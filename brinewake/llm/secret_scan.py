@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import codecs
 import hashlib
 import html
 import lzma
@@ -38,7 +39,7 @@ _ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};)+")
 _ONE_ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]+)\}|\\[uUx]([0-9A-Fa-f]+)|(&#[^;]+;)")
-_BASE64 = re.compile(r"(?:[A-Za-z0-9+/]{60,76}\r?\n)+[A-Za-z0-9+/]{2,76}={0,2}|[A-Za-z0-9+/_-]{16,}={0,2}")
+_BASE64 = re.compile(r"(?:[A-Za-z0-9+/]{60,76}\r?\n)+[A-Za-z0-9+/]{2,76}+={0,2}(?![A-Za-z0-9+/_-])|[A-Za-z0-9+/_-]{16,}={0,2}")
 _MAGIC = (b"\x1f\x8b", b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda", b"BZh", b"\xfd7zXZ\x00", b"\x28\xb5\x2f\xfd")
 
 COLUMNS = "n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_layers long, found array<struct<kind:string,via:string,start:long,end:long>>"
@@ -156,14 +157,47 @@ def _readable(raw: bytes) -> str | None:
     return text if text and not bad else None
 
 
+def _line_groups(whole: str) -> list[tuple[int, str]]:
+    """Parts of a wrapped run, of which any line may be another run, a digest or a word of prose: all
+    but the last or first line, from each line that begins compressed data, and the longest groups of
+    lines that decode to UTF-8 together, each from where the one before ended."""
+    lines = [(m.start(), m.end()) for m in re.finditer(r"[^\r\n]+", whole)]
+    raws = []
+    for s, e in lines:
+        body = whole[s:e].rstrip("=")
+        body = body[: len(body) - (len(body) % 4 == 1)]
+        raws.append(base64.b64decode(body + "=" * (-len(body) % 4)))
+    n = len(lines)
+    ranges = [(0, n - 1), (1, n), (1, n - 1), *((i, n) for i, raw in enumerate(raws) if raw.startswith(_MAGIC))]
+    i = 0
+    while i < n:
+        decoder, j = codecs.getincrementaldecoder("utf-8")(), i
+        try:
+            while j < n:
+                decoder.decode(raws[j])
+                j += 1
+        except UnicodeDecodeError:
+            pass
+        pending = len(decoder.getstate()[0]) > 0
+        ranges += [(i, j), (i, j - 1)] if pending else [(i, j)]
+        i = max(j, i + 1)
+    ranges += [(i, i + 1) for i in range(n)]
+    return [(lines[i][0], whole[lines[i][0] : lines[j - 1][1]]) for i, j in dict.fromkeys(ranges) if i < j and (i, j) != (0, n)]
+
+
 def _from_base64(layer: Layer, most: int):
     """Layers of the base64 runs; or (start, end) of a run that expands too far."""
     for m in _BASE64.finditer(layer.text):
         whole = m.group()
         pieces = [(m.start(), whole)]
+        if "\n" in whole:
+            pieces += [(m.start() + at, piece) for at, piece in _line_groups(whole)]
         if re.search("[-_/]", whole):
             pieces += [(m.start() + p.start(), p.group()) for p in re.finditer(r"[A-Za-z0-9+]{16,}={0,2}", whole) if p.group() != whole]
+        done: list[tuple[int, int]] = []
         for at, piece in pieces:
+            if any(s <= at and at + len(piece) <= e for s, e in done):
+                continue
             kept = np.array([i for i, c in enumerate(piece) if c not in "\r\n="])
             body = "".join(piece[i] for i in kept).replace("-", "+").replace("_", "/")
             if len(body) % 4 == 1:
@@ -181,7 +215,8 @@ def _from_base64(layer: Layer, most: int):
                 text = out is not None and _readable(out)
                 if text:
                     yield Layer(text, np.full(len(text), first), np.full(len(text), last), (*layer.via, "base64", "compressed"))
-                    break
+                    done.append((at, at + len(piece)))
+                    continue
             text = _readable(raw)
             if text is None:
                 continue
@@ -192,7 +227,7 @@ def _from_base64(layer: Layer, most: int):
             if layer.starts is not None:
                 low, high = layer.starts[low], layer.ends[high - 1]
             yield Layer(text, low, high, (*layer.via, "base64"))
-            break
+            done.append((at, at + len(piece)))
 
 
 def scan(text: str | None, max_layer_bytes: int = 1 << 24) -> tuple[list[tuple[int, str, int]], list[tuple[str, str, int, int]], int]:

@@ -56,6 +56,19 @@ def test_layers_are_unwrapped_and_mapped(wrap, via):
         assert at <= s < e <= at + len(coded)
 
 
+@pytest.mark.parametrize("size", [45, 48, 51, 54, 57])
+@pytest.mark.parametrize(("before", "after"), [("", "Then more words"), ("", "then-some"), (hashlib.sha256(b"x").hexdigest() + "\n", ""), (hashlib.sha256(b"x").hexdigest() + "\n", "Then")])
+def test_full_base64_lines_beside_other_lines(size, before, after):
+    one = base64.b64encode(SECRET.ljust(size, " ").encode()).decode()
+    two = base64.b64encode(b"n" * (size - 9)).decode() + base64.b64encode(b"n" * 9 + SECRET.encode().rjust(size)).decode()
+    two = "\n".join(two[i : i + len(one)] for i in range(0, len(two), len(one)))
+    for coded in (one, two):
+        text = f"{before}{coded}\n{after}"
+        hits = [x for x in secret_scan.scan(text)[1] if x[0] == "assign"]
+        assert hits, text
+        assert all(text.index(coded) <= s < e <= text.index(coded) + len(coded) for _, _, s, e in hits)
+
+
 def test_span_of_a_part_of_a_base64_run_is_narrow():
     coded = base64.b64encode(b"nothing to see here, then token=abcdefghij").decode()
     (kind, _, s, e), *_ = secret_scan.scan(coded)[1]
