@@ -1,8 +1,10 @@
 r"""Secret scan with a recursive decoding worklist.
 
 A text is layer 0.  Each layer is scanned; every encoded part of it (percent escapes, Unicode
-escapes, base64 runs, and compressed data inside base64) is decoded into a further layer, until
-no new layer appears.  A layer is identified by a digest of its content and the place it came
+escapes, base64 runs, and compressed data inside any of them, as often as compressed and of all
+members) is decoded into a further layer, until no new layer appears.  Bytes that are not UTF-8 are
+read as latin-1, and where every other byte is null also as the text between; such layers, and those
+with control characters, count in ``n_layers`` only if a rule fires in them.  A layer is identified by a digest of its content and the place it came
 from, so a layer that decodes to itself (or a cycle of such) ends the work.  Every character of a
 layer carries the span of layer-0 code points it came from, so finds map back to the text.
 
@@ -42,6 +44,14 @@ _ONE_ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]+)\}|\\[uUx]([0-9A-Fa-f]+)|(&#[^;]+;
 _BASE64 = re.compile(r"(?:[A-Za-z0-9+/]{60,76}\r?\n)+[A-Za-z0-9+/]{2,76}+={0,2}(?![A-Za-z0-9+/_-])|[A-Za-z0-9+/_-]{16,}={0,2}")
 _MAGIC = (b"\x1f\x8b", b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda", b"BZh", b"\xfd7zXZ\x00", b"\x28\xb5\x2f\xfd")
 
+_ANY_MAGIC = re.compile(b"|".join(map(re.escape, _MAGIC)))
+_WIDE = re.compile(rb"[\x01-\x7f](?:\x00[\x01-\x7f]){7,}")  # UTF-16 of either order; no rule needs more than ASCII
+_QUOTED = re.compile(r"[!-~]*%[0-9A-Fa-f]{2}[!-~]*")
+_QUOTED_BYTE = re.compile(r"%([0-9A-Fa-f]{2})|[!-~]")
+_LITERAL = re.compile(r"""(?:\\(?:x[0-9A-Fa-f]{2}|u00[0-9A-Fa-f]{2}|U000000[0-9A-Fa-f]{2}|u\{0*[0-9A-Fa-f]{1,2}\}|[abfnrtv'"/\\])|&\#(?:[0-9]{1,3}|[xX][0-9A-Fa-f]{1,2});|[\x20-\x7f])+""")
+_LITERAL_BYTE = re.compile(r"""\\(?:x|u00|U000000)([0-9A-Fa-f]{2})|\\u\{0*([0-9A-Fa-f]{1,2})\}|&\#[xX]([0-9A-Fa-f]{1,2});|&\#([0-9]{1,3});|\\([abfnrtv'"/\\])|[\x20-\x7f]""")
+_NAMED = dict(zip("abfnrtv'\"/\\", b"\a\b\f\n\r\t\v'\"/\\", strict=True))
+
 COLUMNS = "n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_layers long, found array<struct<kind:string,via:string,start:long,end:long>>"
 
 
@@ -59,12 +69,13 @@ def scan_text(text: str) -> list[tuple[int, str, int]]:
 
 
 class Layer:
-    """Decoded text; ``starts``/``ends`` give each character's span in layer 0 (None: itself)."""
+    """Decoded text; ``starts``/``ends`` give each character's span in layer 0 (None: itself).
+    ``clear``: surely text, not bytes read as such."""
 
-    __slots__ = ("text", "starts", "ends", "via")
+    __slots__ = ("text", "starts", "ends", "via", "clear")
 
-    def __init__(self, text, starts, ends, via):
-        self.text, self.starts, self.ends, self.via = text, starts, ends, via
+    def __init__(self, text, starts, ends, via, clear=True):
+        self.text, self.starts, self.ends, self.via, self.clear = text, starts, ends, via, clear
 
     def place(self, start: int, end: int) -> tuple[int, int]:
         if self.starts is None:
@@ -128,33 +139,109 @@ def _unescape(run: str):
     return "".join(out), np.array(low), np.array(high)
 
 
-def _inflate(raw: bytes, most: int) -> tuple[bytes | None, bool]:
-    """Decompressed bytes, and whether there was more than ``most``."""
-    try:
-        if raw[:2] == b"\x1f\x8b":
-            out = zlib.decompressobj(31).decompress(raw, most + 1)
-        elif raw[:3] == b"BZh":
-            out = bz2.BZ2Decompressor().decompress(raw, most + 1)
-        elif raw[:6] == b"\xfd7zXZ\x00":
-            out = lzma.LZMADecompressor().decompress(raw, most + 1)
-        elif raw[:4] == b"\x28\xb5\x2f\xfd":
-            import zstandard
-
-            out = zstandard.ZstdDecompressor().decompressobj().decompress(raw) if len(raw) < most else b"\0" * (most + 1)
-        else:
-            out = zlib.decompressobj().decompress(raw, most + 1)
-    except Exception:  # noqa: BLE001  any malformed stream: not compressed data after all
-        return None, False
-    return (None, True) if len(out) > most else (out, False)
+def _inflate(raw: bytes, most: int) -> tuple[bytes, bool, bytes]:
+    """Decompressed bytes of all members in front, whether there were more than ``most``, and what follows."""
+    out, size, kind = [], 0, next(x for x in _MAGIC if raw.startswith(x))
+    while raw.startswith(kind):
+        try:
+            if kind == b"\x1f\x8b":
+                stream = zlib.decompressobj(31)
+            elif kind == b"BZh":
+                stream = bz2.BZ2Decompressor()
+            elif kind == b"\xfd7zXZ\x00":
+                stream = lzma.LZMADecompressor()
+            elif kind == b"\x28\xb5\x2f\xfd":
+                import zstandard
+
+                stream = zstandard.ZstdDecompressor().decompressobj()
+            else:
+                stream = zlib.decompressobj()
+            if kind == b"\x28\xb5\x2f\xfd":
+                piece = stream.decompress(raw) if len(raw) < most else b"\0" * (most + 1)
+            else:
+                piece = stream.decompress(raw, most + 1 - size)
+        except Exception:  # noqa: BLE001  any malformed stream: not compressed data after all
+            break
+        out.append(piece)
+        size += len(piece)
+        if size > most:
+            return b"", True, b""
+        raw = stream.unused_data if stream.eof else b""
+    return b"".join(out), False, raw
+
+
+def _opened(raw: bytes, most: int):
+    """(bytes, times inflated) of all that is in ``raw``, itself if it is not compressed; None for
+    bytes beyond ``most``."""
+    work, seen = [(raw, 0)], set()
+    while work:
+        raw, times = work.pop()
+        key = hashlib.blake2b(raw, digest_size=16).digest()
+        if key in seen:
+            continue
+        seen.add(key)
+        if raw.startswith(_MAGIC):
+            out, more, rest = _inflate(raw, most)
+            if more:
+                yield None, times
+                continue
+            if len(rest) < len(raw):
+                work += [(x, n) for x, n in ((out, times + 1), (rest, times)) if x]
+                continue
+        yield raw, times
 
 
-def _readable(raw: bytes) -> str | None:
+def _texts(raw: bytes):
+    """(text, first byte of each character, end byte, surely text) of ``raw`` read as text."""
     try:
         text = raw.decode()
+        sizes = np.array([len(c.encode()) for c in text], np.int64)
+        clear = not any(ord(c) < 32 and c not in "\t\n\r" for c in text)
     except UnicodeDecodeError:
-        return None
-    bad = sum(1 for c in text if ord(c) < 32 and c not in "\t\n\r")
-    return text if text and not bad else None
+        text, sizes, clear = raw.decode("latin-1"), np.ones(len(raw), np.int64), False
+    if text and (clear or scan_text(text) or any(p.search(text) for p in (_BASE64, _PERCENT, _ESCAPE))):
+        ends = np.cumsum(sizes)
+        yield text, ends - sizes, ends, clear
+    if b"\0" in raw:
+        for m in _WIDE.finditer(raw):
+            at = np.arange(m.start(), m.end(), 2)
+            yield m.group()[::2].decode(), at, at + 1, False
+
+
+def _from_escapes(layer: Layer, most: int):
+    """Layers of compressed bytes that stand as percent or other escapes among plain characters."""
+    ways = []
+    if "%" in layer.text:
+        ways += [("url", _QUOTED, _QUOTED_BYTE, 32), ("url", _QUOTED, _QUOTED_BYTE, 43)]  # + is a space or itself
+    if "\\" in layer.text or "&#" in layer.text:
+        ways.append(("unicode", _LITERAL, _LITERAL_BYTE, 43))
+    for via, token, byte, plus in ways:
+        for m in token.finditer(layer.text):
+            if via == "unicode" and not _ESCAPE.search(m.group()) or plus == 43 and via == "url" and "+" not in m.group():
+                continue
+            parts = list(byte.finditer(m.group()))
+            raw = bytearray()
+            for p in parts:
+                if via == "url":
+                    raw.append(int(p[1], 16) if p[1] else plus if p[0] == "+" else ord(p[0]))
+                else:
+                    code = p[1] or p[2] or p[3]
+                    raw.append(int(code, 16) if code else int(p[4]) & 255 if p[4] else _NAMED[p[5]] if p[5] else ord(p[0]))
+            raw, end = bytes(raw), 0
+            for hit in _ANY_MAGIC.finditer(raw):
+                if hit.start() < end:
+                    continue
+                out, more, rest = _inflate(raw[hit.start() :], most)
+                if not out and not more:
+                    continue
+                end = len(raw) - len(rest)
+                first, last = layer.place(m.start() + parts[hit.start()].start(), m.start() + parts[end - 1].end())
+                for opened, times in [(None, 0)] if more else _opened(out, most):
+                    if opened is None:
+                        yield first, last, (*layer.via, via, *["compressed"] * (times + (not more)))
+                        continue
+                    for text, _, _, clear in _texts(opened):
+                        yield Layer(text, np.full(len(text), first), np.full(len(text), last), (*layer.via, via, *["compressed"] * (times + 1)), clear)
 
 
 def _line_groups(whole: str) -> list[tuple[int, str]]:
@@ -186,7 +273,7 @@ def _line_groups(whole: str) -> list[tuple[int, str]]:
 
 
 def _from_base64(layer: Layer, most: int):
-    """Layers of the base64 runs; or (start, end) of a run that expands too far."""
+    """Layers of the base64 runs; or (start, end, via) of a run that expands too far."""
     for m in _BASE64.finditer(layer.text):
         whole = m.group()
         pieces = [(m.start(), whole)]
@@ -194,7 +281,7 @@ def _from_base64(layer: Layer, most: int):
             pieces += [(m.start() + at, piece) for at, piece in _line_groups(whole)]
         if re.search("[-_/]", whole):
             pieces += [(m.start() + p.start(), p.group()) for p in re.finditer(r"[A-Za-z0-9+]{16,}={0,2}", whole) if p.group() != whole]
-        done: list[tuple[int, int]] = []
+        done, unsure = [], []
         for at, piece in pieces:
             if any(s <= at and at + len(piece) <= e for s, e in done):
                 continue
@@ -207,27 +294,37 @@ def _from_base64(layer: Layer, most: int):
             except (binascii.Error, ValueError):
                 continue
             first, last = layer.place(at, at + len(piece))
-            if raw.startswith(_MAGIC):
-                out, more = _inflate(raw, most)
-                if more:
-                    yield first, last
-                    continue
-                text = out is not None and _readable(out)
-                if text:
-                    yield Layer(text, np.full(len(text), first), np.full(len(text), last), (*layer.via, "base64", "compressed"))
+            for opened, times in _opened(raw, most):
+                via = (*layer.via, "base64", *["compressed"] * times)
+                if opened is None:
+                    yield first, last, via
                     done.append((at, at + len(piece)))
                     continue
-            text = _readable(raw)
-            if text is None:
-                continue
-            sizes = np.array([len(c.encode()) for c in text])
-            ends = np.cumsum(sizes)
-            low = at + kept[(ends - sizes) * 8 // 6]
-            high = at + kept[np.minimum((ends * 8 - 1) // 6, len(kept) - 1)] + 1
+                for text, begins, ends, clear in _texts(opened):
+                    if times or opened is not raw:
+                        low, high = np.full(len(text), first), np.full(len(text), last)
+                    else:
+                        low = at + kept[begins * 8 // 6]
+                        high = at + kept[np.minimum((ends * 8 - 1) // 6, len(kept) - 1)] + 1
+                        if not clear:
+                            unsure.append((text, low, high, via))
+                            continue
+                        if layer.starts is not None:
+                            low, high = layer.starts[low], layer.ends[high - 1]
+                    yield Layer(text, low, high, via, clear)
+                    if clear:
+                        done.append((at, at + len(piece)))
+                if times:
+                    done.append((at, at + len(piece)))
+        for text, low, high, via in unsure:  # but for what turned out to be text or compressed
+            inside = np.zeros(len(text), bool)
+            for s, e in done:
+                inside |= (low < e) & (high > s)
+            if inside.any():
+                text = "".join("\n" if x else c for x, c in zip(inside.tolist(), text, strict=True))
             if layer.starts is not None:
                 low, high = layer.starts[low], layer.ends[high - 1]
-            yield Layer(text, low, high, (*layer.via, "base64"))
-            done.append((at, at + len(piece)))
+            yield Layer(text, low, high, via, False)
 
 
 def scan(text: str | None, max_layer_bytes: int = 1 << 24) -> tuple[list[tuple[int, str, int]], list[tuple[str, str, int, int]], int]:
@@ -243,9 +340,10 @@ def scan(text: str | None, max_layer_bytes: int = 1 << 24) -> tuple[list[tuple[i
         if key in seen:
             continue
         seen.add(key)
-        layers += 1
+        spans = scan_text(layer.text) if layer.via else base
+        layers += layer.clear or bool(spans)
         if layer.via:
-            for s, kind, e in scan_text(layer.text):
+            for s, kind, e in spans:
                 s, e = layer.place(s, e)
                 if (kind, s, e) not in known:
                     known.add((kind, s, e))
@@ -254,12 +352,12 @@ def scan(text: str | None, max_layer_bytes: int = 1 << 24) -> tuple[list[tuple[i
             work += filter(None, [_rewritten(layer, _PERCENT, _unpercent, "url")])
         if "\\" in layer.text or "&#" in layer.text:
             work += filter(None, [_rewritten(layer, _ESCAPE, _unescape, "unicode")])
-        for new in _from_base64(layer, max_layer_bytes):
+        for new in (*_from_base64(layer, max_layer_bytes), *_from_escapes(layer, max_layer_bytes)):
             if isinstance(new, Layer):
                 work.append(new)
-            elif ("oversize", *new) not in known:
-                known.add(("oversize", *new))
-                added.append(("oversize", "+".join((*layer.via, "base64")), *new))
+            elif ("oversize", *new[:2]) not in known:
+                known.add(("oversize", *new[:2]))
+                added.append(("oversize", "+".join(new[2]), *new[:2]))
     return base, added, layers
 
 

@@ -1,9 +1,13 @@
 import base64
+import bz2
 import gzip
 import hashlib
+import json
+import lzma
 import random
 import re
 import zlib
+from urllib.parse import quote, quote_plus
 
 import pytest
 from hypothesis import given, settings
@@ -69,6 +73,37 @@ def test_full_base64_lines_beside_other_lines(size, before, after):
         assert all(text.index(coded) <= s < e <= text.index(coded) + len(coded) for _, _, s, e in hits)
 
 
+@pytest.mark.parametrize(
+    "raw",
+    [
+        gzip.compress(zlib.compress(SECRET.encode())),
+        gzip.compress(gzip.compress(gzip.compress(SECRET.encode()))),
+        gzip.compress(b"one member ") + gzip.compress(SECRET.encode()),
+        gzip.compress(b"one member ") + zlib.compress(SECRET.encode()),
+        bz2.compress(b"one member ") + bz2.compress(SECRET.encode()),
+        b"\0" + SECRET.encode() + b"\0\x07",
+        b"\xff\xfe\xe9 " + SECRET.encode() + b"\x80",
+        SECRET.encode("utf-16"),
+        SECRET.encode("utf-16-be"),
+        gzip.compress(b"\1" + SECRET.encode("utf-16-le")),
+    ],
+)
+def test_bytes_are_inflated_to_the_end_and_read(raw):
+    coded = base64.b64encode(raw).decode()
+    hits = [x for x in secret_scan.scan(f"see {coded} end")[1] if x[0] == "assign"]
+    assert hits
+    assert all(4 <= s < e <= 4 + len(coded) for _, _, s, e in hits)
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress, lambda x: gzip.compress(zlib.compress(x))])
+@pytest.mark.parametrize("escape", [quote, quote_plus, lambda r: repr(r), lambda r: "".join(f"\\x{c:02x}" for c in r), lambda r: "".join(f"%{c:02x}" for c in r), lambda r: "".join(f"&#{c};" for c in r), lambda r: json.dumps(r.decode("latin-1"))])
+def test_compressed_bytes_behind_escapes(pack, escape):
+    coded = escape(pack(b"some words before it " + SECRET.encode()))
+    hits = [x for x in secret_scan.scan(f"see data={coded} end")[1] if x[0] == "assign"]
+    assert hits
+    assert all(9 <= s < e <= 9 + len(coded) for _, _, s, e in hits)
+
+
 def test_span_of_a_part_of_a_base64_run_is_narrow():
     coded = base64.b64encode(b"nothing to see here, then token=abcdefghij").decode()
     (kind, _, s, e), *_ = secret_scan.scan(coded)[1]
