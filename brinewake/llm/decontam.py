@@ -5,8 +5,9 @@ item if they share a five-word shingle, so windows stand where an item's shingle
 the shared shingle lies in the item.  Each such window of the item's length is fingerprinted (64-bit
 SimHash of its words).  The item fingerprints are indexed by eight 8-bit blocks: two fingerprints
 within radius r differ in at most r // 8 bits of some block, and each block's table lists the items
-within that many bits of every value, so no fingerprint within the radius is missed.  Candidates are
-verified on whole shingle multisets: the weight of the item's shingles found in the window, over the
+within that many bits of every value, so no fingerprint within the radius is missed.  An item of
+whose shingles the whole text has enough weight is a candidate in its windows whatever the
+fingerprints say, so the radius loses no item.  Candidates are verified on whole shingle multisets: the weight of the item's shingles found in the window, over the
 weight of all the item's shingles (rarer among the items: heavier), must reach ``similarity``.
 
 Items are read in blocks of bounded size; each block is matched with all rows, so neither the number
@@ -55,6 +56,7 @@ class Index:
         distinct, first = np.unique(self.keys, return_index=True)
         df = np.array([len(np.unique(x)) for x in np.split(self.owner, first[1:])]) if len(distinct) else np.empty(0)
         weight = dict(zip(distinct.tolist(), np.log1p(len(ids) / np.maximum(df, 1)).tolist(), strict=True))
+        self.weight = np.array([weight[x] for x in self.keys.tolist()])
         self.items = []
         for i in range(len(ids)):
             own, count = np.unique(runs[ranges[i] : ranges[i + 1]], return_counts=True)
@@ -96,21 +98,24 @@ class Index:
     def match(self, hashes: np.ndarray, runs: np.ndarray, hits: np.ndarray) -> dict[int, tuple[float, int, int]]:
         """Item number to (similarity, first word, words) for one text."""
         n = len(hashes)
-        windows: set[tuple[int, int]] = set()
+        windows: dict[tuple[int, int], set[int]] = {}
+        held: dict[int, dict[int, float]] = {}
         for h in hits.tolist():
             a, b = np.searchsorted(self.keys, runs[h], "left"), np.searchsorted(self.keys, runs[h], "right")
-            for item, place in zip(self.owner[a:b].tolist(), self.place[a:b].tolist(), strict=True):
+            for item, place, weight in zip(self.owner[a:b].tolist(), self.place[a:b].tolist(), self.weight[a:b].tolist(), strict=True):
                 size = int(self.length[item])
                 if size < self.words:
                     if size == n:
-                        windows.add((size, 0))
+                        windows.setdefault((size, 0), set()).add(item)
                 else:
-                    windows.add((size, min(max(h - place, 0), max(n - size, 0))))
+                    windows.setdefault((size, min(max(h - place, 0), max(n - size, 0))), set()).add(item)
+                held.setdefault(item, {})[place] = weight
+        enough = {item for item, own in held.items() if sum(own.values()) >= self.similarity * self.items[item][3] - 1e-9}
         best: dict[int, tuple[float, int, int]] = {}
         for size, start in sorted(windows):
             window = hashes[start : start + size]
             own, count = np.unique(runs[start : start + max(len(window) - self.words + 1, 1)], return_counts=True)
-            for item in self.within(size, simhash(window)).tolist():
+            for item in sorted({*self.within(size, simhash(window)).tolist(), *(windows[size, start] & enough)}):
                 keys, counts, weights, total = self.items[item]
                 _, i, j = np.intersect1d(keys, own, assume_unique=True, return_indices=True)
                 score = float((weights[i] * np.minimum(counts[i], count[j])).sum()) / total if total else 0.0

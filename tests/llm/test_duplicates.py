@@ -186,6 +186,16 @@ def test_edited_passages_and_blocks_of_items(spark):
     assert sorted(r["doc_id"] for r in decontam.decontaminate(d, b).collect()) == [2, 4, 5, 6]
 
 
+def test_edited_passages_at_the_production_threshold():
+    """Items of which the last fifth is replaced, at similarity 0.8 and the radius in use."""
+    rng = np.random.default_rng(6)
+    items = [[f"w{v}" for v in rng.integers(0, 10**9, 60)] for _ in range(1500)]
+    index = decontam.Index(list(range(1500)), [" ".join(x) for x in items], 5, 20, 0.8)
+    docs = [" ".join([*(f"n{v}" for v in rng.integers(0, 10**9, 30)), *x[:49], *(f"n{v}" for v in rng.integers(0, 10**9, 40))]) for x in items]
+    got = {(row, item) for row, item, *_ in decontam._found(index, pa.array(docs))}
+    assert got == {(i, i) for i in range(1500)}
+
+
 def test_blocks_find_all_fingerprints_within_the_radius():
     rng = np.random.default_rng(4)
     texts = [" ".join(f"x{v}" for v in rng.integers(0, 10**6, 20)) for _ in range(50)]
