@@ -4,7 +4,8 @@ A word enters as its own embedding (words of the training sample; others share o
 embedding of its hashed byte trigrams, so that unknown words are judged by their letters.  A GRU
 reads each window of ``window`` words in both directions, attention pools the states, and a logistic
 unit scores the window.  A document is scored by the largest logit over all its overlapping windows
-(half a window apart, the last one flush with the end), calibrated by logistic regression on texts
+(``stride`` words apart, the last one flush with the end: a passage of up to window - stride + 1 words
+is whole in one of them), calibrated by logistic regression on texts
 that took no part in training, weighted to the classes' true shares.
 
 Training labels hold for documents, not windows: a toxic text is represented by the window that
@@ -13,18 +14,20 @@ stands out most, first by word statistics, then by the network itself.
 Defined results: a null or empty text is scored as an empty window; with no labelled rows of both
 classes the score is the share of toxic labels (0 if none); repeated rows are scored alike; texts
 repeated in the labels count as often as they occur; a null label is not learned from; other columns
-are ignored.  ``per_class`` bounds the labelled texts that the driver trains on.
+are ignored.  ``per_class`` and ``most_chars`` bound the labelled texts that the driver trains on.
 """
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import vectext
-from .common import map_batches
+from .common import cut, map_batches
 
 _NO_WORD = np.uint64(0)
 
@@ -33,6 +36,11 @@ def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+def _gates(x):
+    """As ``sigmoid``, with less work a number; large arguments are exact either way."""
+    return 0.5 * np.tanh(0.5 * x) + 0.5
+
+
 class Net:
     """Parameters and passes.  ``keys``: sorted hashes of known words; embedding 0 is any other."""
 
@@ -77,7 +85,7 @@ class Net:
         states, saved = np.empty((steps, len(index), h), p["word"].dtype), []
         for t in range(steps) if side == "f" else range(steps - 1, -1, -1):
             x, g = projected[index[:, t]], state @ p[f"u{side}"]
-            gates = sigmoid(x[:, : 2 * h] + g[:, : 2 * h])
+            gates = _gates(x[:, : 2 * h] + g[:, : 2 * h])
             r, z = gates[:, :h], gates[:, h:]
             new = np.tanh(x[:, 2 * h :] + r * g[:, 2 * h :])
             after = new + z * (state - new)
@@ -144,31 +152,30 @@ class Net:
         return loss, g
 
 
-def window_starts(n: int, window: int) -> np.ndarray:
+def window_starts(n: int, window: int, stride: int) -> np.ndarray:
     """Starts of all overlapping windows of an n-word text."""
     if n <= window:
         return np.zeros(1, np.int64)
-    starts = np.arange(0, n - window, max(1, window // 2))
+    starts = np.arange(0, n - window, stride)
     return np.append(starts, n - window)
 
 
 class Model:
-    def __init__(self, net: Net | None, window: int, slope: float, offset: float):
-        self.net, self.window, self.slope, self.offset = net, window, slope, offset
+    def __init__(self, net: Net | None, window: int, slope: float, offset: float, stride: int = 6):
+        self.net, self.window, self.slope, self.offset, self.stride = net, window, slope, offset, stride
 
     def text_logits(self, column: pa.Array) -> np.ndarray:
         """The largest window logit of each text."""
         out = np.empty(len(column), np.float64)
         for first, end, data, offsets in vectext.chunks(column, 1 << 20):
             starts, ends, bounds = vectext.word_spans(data, offsets, vectext.PUNCT)
-            _, sample, inverse = np.unique(vectext.span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-            hashes = vectext.span_hashes(data, starts, ends)[sample]
+            hashes, sample, inverse = np.unique(vectext.span_hashes(data, starts, ends), return_index=True, return_inverse=True)
             x = self.net.inputs(*self.net.words(data, starts[sample], ends[sample], hashes))
             counts = np.diff(bounds)
             out[first:end] = self.net.p["bias"][0]
             full = np.flatnonzero(counts >= self.window)
             if len(full):
-                rel = [window_starts(int(counts[d]), self.window) for d in full]
+                rel = [window_starts(int(counts[d]), self.window, self.stride) for d in full]
                 begin = np.concatenate([r + bounds[d] for r, d in zip(rel, full, strict=True)])
                 logits = np.concatenate([self.net.forward(x, inverse[begin[i : i + 2048, None] + np.arange(self.window)])[0] for i in range(0, len(begin), 2048)])
                 size = np.array([len(r) for r in rel])
@@ -235,7 +242,7 @@ def train(texts: list[str], labels: np.ndarray, shares: tuple[float, float], win
     model = Model(net, window, 1.0, 0.0)
     sizes = np.diff(sample.bounds)
     use = np.flatnonzero(~held & (sizes > 0))
-    starts = [window_starts(int(sizes[d]), window) for d in use]
+    starts = [window_starts(int(sizes[d]), window, window // 2) for d in use]
     owner = np.repeat(np.arange(len(use)), [len(x) for x in starts])
     first = np.concatenate(starts) if len(use) else np.empty(0, np.int64)
     head = np.searchsorted(owner, np.arange(len(use) + 1))
@@ -280,15 +287,39 @@ def _calibrated(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, flo
     return max(float(beta[0]), 0.05), float(beta[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = 2000, window: int = 24) -> Model:
-    """Learn from the labelled rows of ``docs``.  The sample of each class is the ids of least hash."""
+def _drawn(labelled: DataFrame, per_class: int) -> tuple[DataFrame, dict[int, int]]:
+    """(id, y) of the ``per_class`` labels of least hash of each class, and all labels of each."""
+    sizes = {r["y"]: r["count"] for r in labelled.groupBy("y").count().collect()}
+    least = lambda c: labelled.where(F.col("y") == c).orderBy(F.xxhash64("id"), "id").limit(per_class)
+    return least(0).unionByName(least(1)), sizes
+
+
+def _bounded(rows: DataFrame, most_rows: int, most_chars: int) -> list:
+    """Of (y, text, n, h): rows by hash, as many as both bounds allow; a text that would exceed the
+    rest of ``most_chars`` is passed over."""
+    heads = rows.select("h", "n").orderBy("h", "n").limit(most_rows).collect()
+    left, held = most_chars, set()
+    for h, group in itertools.groupby(heads, key=lambda r: r["h"]):
+        need = sum(r["n"] for r in group)
+        if need <= left:
+            left -= need
+            held.add(h)
+    return rows.where(F.col("h").isin(*held)).orderBy("h", "n", "y").limit(most_rows).select("y", "text").collect() if held else []
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = 2000, window: int = 24, most_chars: int = 16_000_000) -> Model:
+    """Learn from the labelled rows of ``docs``.
+
+    The sample is the ``per_class`` labels of least hash of each class: so few ids that they are sent
+    to the texts, which stay where they are.  The driver holds ``most_chars`` characters of them.
+    """
     y = labels.where(F.col(label_col).isNotNull()).select(F.col(id_col).alias("id"), (F.col(label_col) > 0).cast("int").alias("y"))
     have = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    sizes = {r["y"]: r["count"] for r in y.groupBy("y").count().collect()}
+    drawn, sizes = _drawn(y, per_class)
     total = sum(sizes.values())
-    draw = F.pmod(F.xxhash64("id"), F.lit(1_000_003)) / 1_000_003.0
-    share = F.when(F.col("y") == 1, F.lit(per_class / max(sizes.get(1, 0), 1))).otherwise(F.lit(per_class / max(sizes.get(0, 0), 1)))
-    rows = have.join(y.where(draw < share), "id").select("y", "text").orderBy(F.xxhash64("text"), "text").limit(3 * per_class).collect()
+    rows = have.join(F.broadcast(drawn), "id")  # 2 * per_class ids
+    rows = cut(rows.select("y", "text", F.length("text").alias("n"), F.xxhash64("text").alias("h")))
+    rows = _bounded(rows, 3 * per_class, most_chars)
     found = np.array([r["y"] for r in rows], np.int64)
     if len(np.unique(found)) < 2:
         return Model(None, window, 0.0, sizes.get(1, 0) / total if total else 0.0)

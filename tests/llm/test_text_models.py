@@ -1,3 +1,5 @@
+import itertools
+
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -99,8 +101,9 @@ def test_gradient_against_differences():
 
 
 def test_all_overlapping_windows():
-    for n in (0, 1, 23, 24, 25, 36, 100):
-        starts = toxicity.window_starts(n, 24)
+    for n, stride in itertools.product((0, 1, 23, 24, 25, 36, 100), (1, 6, 12)):
+        starts = toxicity.window_starts(n, 24, stride)
+        assert all(b - a <= stride for a, b in itertools.pairwise(starts))
         covered = {i for s in starts for i in range(s, min(s + 24, n))}
         assert covered == set(range(n))
         assert starts[-1] == max(0, n - 24)
@@ -126,5 +129,28 @@ def test_toxicity_learns_and_reads_whole_texts(spark, edge, nothing):
     got = toxicity.score_toxicity(edge, model).collect()
     assert len(got) == edge.count() and all(0 <= r["score"] <= 1 for r in got)
     assert toxicity.score_toxicity(nothing, model).count() == 0
+    label = spark.createDataFrame([(1, 1), (4, 1), (5, 0), (5, None), (6, 0), (None, 1)], "doc_id long, toxic int")
+    assert len(toxicity.score_toxicity(edge, toxicity.fit(edge, label)).collect()) == edge.count()
     none = toxicity.fit(nothing, spark.createDataFrame([], "doc_id long, toxic int"))
     assert {r["score"] for r in toxicity.score_toxicity(edge, none).collect()} == {0.0}
+
+
+def test_toxicity_on_held_out_rows(spark):
+    """Area under the curve, and errors, over all labelled rows that took no part in learning."""
+    data = "/root/testdata/sf0.1"
+    y = queries.table(spark, data, "labels").select("doc_id", "toxic").where("toxic is not null")
+    got = queries.op10_toxicity(spark, data).where("held_out").join(y, "doc_id").collect()
+    score, toxic = np.array([r["score"] for r in got]), np.array([r["toxic"] > 0 for r in got])
+    above = (score[toxic][:, None] > score[~toxic]).mean() + 0.5 * (score[toxic][:, None] == score[~toxic]).mean()
+    assert above >= 0.9
+    assert (score[toxic] >= 0.5).mean() >= 0.8 and (score[~toxic] >= 0.5).mean() <= 0.05
+
+
+def test_the_sample_is_bounded(spark):
+    rows = spark.createDataFrame([(i % 2, "x" * n, n, i) for i, n in enumerate([5, 5000, 7, 9, 11])], "y int, text string, n int, h long")
+    assert [len(r["text"]) for r in toxicity._bounded(rows, 10, 30)] == [5, 7, 9]
+    assert [len(r["text"]) for r in toxicity._bounded(rows, 2, 10**6)] == [5, 5000]
+    assert toxicity._bounded(rows, 10, 4) == []
+    labelled = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(500)], "id long, y int")
+    drawn, sizes = toxicity._drawn(labelled, 40)
+    assert sizes == {0: 450, 1: 50} and {r["y"]: r["count"] for r in drawn.groupBy("y").count().collect()} == {0: 40, 1: 40}
