@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -41,14 +43,16 @@ def located(messages: DataFrame) -> DataFrame:
 def near_station(messages: DataFrame, stations: DataFrame, radius: float, distance=geo.haversine) -> DataFrame:
     """Messages within ``radius`` metres (rounded up) of each station, with the distance.
 
-    The cheap box is tested in the join, the distance only behind it.  ``stations``: station,
-    sx, sy; a table of deployments, small by nature, and joined as its size allows.
+    Stations meet messages by bands of latitude as high as the box, an equi-join whatever their
+    number; the box is tested next, across the 180th meridian too, and the distance only behind it.
+    ``stations``: station, sx, sy.
     """
-    b = geo.box(F.col("sx"), F.col("sy"), F.lit(float(radius)))
-    s = stations.select("station", "sx", "sy", *[c.alias(f"_{n}") for n, c in b.items()])
-    inside = F.col("x").between(F.col("_left"), F.col("_right")) & F.col("y").between(F.col("_bottom"), F.col("_top"))
-    d = messages.join(s, inside).withColumn("distance_to_station", distance(F.col("sx"), F.col("sy"), F.col("x"), F.col("y")))
-    return d.where(F.ceil("distance_to_station") <= int(radius)).drop("_left", "_right", "_bottom", "_top")
+    high = math.degrees((radius + geo.BOX_MARGIN_M) / geo.EQUATOR_M)
+    s = stations.select("station", "sx", "sy", (F.col("sy") - high).alias("_bottom"), (F.col("sy") + high).alias("_top"))
+    d = range_join(messages, s, "y", "_bottom", "_top", 2 * high).drop("_bottom", "_top")
+    d = d.where(geo.in_box(F.col("sx"), F.col("sy"), F.col("x"), F.col("y"), F.lit(float(radius))))
+    d = d.withColumn("distance_to_station", distance(F.col("sx"), F.col("sy"), F.col("x"), F.col("y")))
+    return d.where(F.ceil("distance_to_station") <= int(radius))
 
 
 def in_deployments(files: DataFrame, deployments: DataFrame, at_us: str, keys: tuple[str, ...] = (), short_only: bool = False) -> DataFrame:

@@ -15,9 +15,13 @@ SHORTEST_US, LONGEST_US = 20 * times.SECOND, 1200 * times.SECOND
 
 
 def repeated_vessels(messages: DataFrame, keys: Sequence[str] = ("mmsi",)) -> DataFrame:
-    """Messages of vessels with more than one message."""
-    many = messages.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").select(*keys)
-    return messages.join(many, list(keys), "left_semi")
+    """Messages of vessels with more than one message: those with a neighbour.
+
+    The window's exchange is the one that gaps and interpolation need, so it costs no shuffle.
+    """
+    w = W.partitionBy(*keys).orderBy("at_us")
+    one = F.lit(1)
+    return messages.withColumns({"_before": F.lag(one).over(w), "_after": F.lead(one).over(w)}).where("_before is not null or _after is not null").drop("_before", "_after")
 
 
 def gaps(messages: DataFrame, keys: Sequence[str] = ("mmsi",)) -> DataFrame:
@@ -27,20 +31,17 @@ def gaps(messages: DataFrame, keys: Sequence[str] = ("mmsi",)) -> DataFrame:
     return d.withColumn("fillable", F.coalesce((F.col("gap_us") > SHORTEST_US) & (F.col("gap_us") <= LONGEST_US), F.lit(False)))
 
 
-def time_steps(with_gaps: DataFrame, keys: Sequence[str] = ("mmsi",)) -> DataFrame:
-    """Synthetic times (keys, step, at_us) of fillable gaps: ceil(gap / 20 s) points, equally spaced,
-    the first at the earlier message's time."""
-    steps = F.ceil(F.col("gap_us") / SHORTEST_US).cast("int")
-    d = with_gaps.where("fillable").withColumn("steps", steps)
-    d = d.select(*keys, "prev_us", "gap_us", "steps", F.explode(F.sequence(F.lit(0), F.col("steps") - 1)).alias("step"))
-    return d.select(*keys, "step", (F.col("prev_us") + F.floor(F.col("step") * F.col("gap_us") / F.col("steps"))).cast("long").alias("at_us"))
+def _step_times() -> Column:
+    """Times of the synthetic points of a gap, in whole microseconds by integer division: ceil(gap / 20 s)
+    of them, equally spaced, the first at the earlier message's time.  Empty where there is no gap."""
+    steps = F.ceil(F.col("gap_us") / SHORTEST_US).cast("long")
+    points = F.transform(F.sequence(F.lit(0).cast("long"), steps - 1), lambda i: F.struct(i.cast("int").alias("step"), (F.col("prev_us") + F.call_function("div", i * F.col("gap_us"), steps)).alias("at_us")))
+    return F.when(F.col("fillable"), points).otherwise(F.array().cast("array<struct<step:int,at_us:bigint>>"))
 
 
 def exact_steps(with_gaps: DataFrame, keys: Sequence[str] = ("mmsi",)) -> DataFrame:
-    """As ``time_steps``, in whole microseconds by integer division."""
-    d = with_gaps.where("fillable").withColumn("steps", F.ceil(F.col("gap_us") / SHORTEST_US).cast("long"))
-    d = d.select(*keys, "prev_us", "gap_us", "steps", F.explode(F.sequence(F.lit(0).cast("long"), F.col("steps") - 1)).alias("step"))
-    return d.select(*keys, F.col("step").cast("int").alias("step"), (F.col("prev_us") + F.expr("(step * gap_us) div steps")).alias("at_us"))
+    """Synthetic times (keys, step, at_us) of fillable gaps."""
+    return with_gaps.where("fillable").select(*keys, F.inline(_step_times()))
 
 
 def interpolated(messages: DataFrame, values: Sequence[str], carried: Sequence[str] = ("id", "type_and_cargo"), keys: Sequence[str] = ("mmsi",), method: str = "position") -> DataFrame:
@@ -48,13 +49,14 @@ def interpolated(messages: DataFrame, values: Sequence[str], carried: Sequence[s
 
     Rows are ordered by (time, real first).  ``position``: a value between two known ones is linear
     in the row's position; ``time``: linear in time.  Behind the last known value it stays, before
-    the first it is NULL.  ``carried`` columns of synthetic rows take the last known value.  One
-    exchange by ``keys`` serves the gaps and all windows.
+    the first it is NULL.  ``carried`` columns of synthetic rows take the last known value.  One scan
+    and one exchange by ``keys`` serve the gaps and all windows.
     """
-    g = gaps(messages, keys)
-    made = exact_steps(g, keys).drop("step").withColumn("is_interpolated", F.lit(True))
-    real = g.select(*keys, "at_us", *carried, *values).withColumn("is_interpolated", F.lit(False))
-    d = real.unionByName(made, allowMissingColumns=True)
+    # a message gives its own row and those of the gap before it: one scan, no union
+    own = F.array(F.struct(F.lit(None).cast("int").alias("step"), F.col("at_us").alias("at_us")))
+    d = gaps(messages, keys).select(*keys, *[F.struct(*carried, *values).alias("_m")], F.explode(F.concat(_step_times(), own)).alias("_p"))
+    real = F.col("_p.step").isNull()
+    d = d.select(*keys, F.col("_p.at_us").alias("at_us"), (~real).alias("is_interpolated"), *[F.when(real, F.col(f"_m.{c}")).alias(c) for c in (*carried, *values)])
     w = W.partitionBy(*keys).orderBy("at_us", F.col("is_interpolated").cast("int"))
     d = d.withColumn("rn", F.row_number().over(w).cast("double"))
     back, ahead = w.rowsBetween(W.unboundedPreceding, 0), w.rowsBetween(0, W.unboundedFollowing)

@@ -7,8 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def range_join(points: DataFrame, intervals: DataFrame, at: str, low: str, high: str, width: int, on: tuple[str, ...] = (), how: str = "inner") -> DataFrame:
-    """Pairs with low <= at <= high (long columns).
+def range_join(points: DataFrame, intervals: DataFrame, at: str, low: str, high: str, width: float, on: tuple[str, ...] = (), how: str = "inner") -> DataFrame:
+    """Pairs with low <= at <= high (numbers).
 
     Intervals are expanded to the buckets of ``width`` that they touch and equi-joined with the
     points' buckets, so the plan is a hash or sort-merge join, never a nested loop.  A point lies

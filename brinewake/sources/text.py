@@ -40,9 +40,11 @@ def read_positions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_deployments(spark: SparkSession, path: str) -> DataFrame:
-    """One CSV per device, the file's stem being the device."""
-    d = spark.read.schema(schemas.DEPLOYMENT).csv(path, header=True)
-    return d.withColumn("device", F.regexp_replace(file_name(), r"\.csv$", "")).where("begin is not null and end is not null")
+    """One CSV per device, the file's stem being the device, or a folder ``device=NAME`` each."""
+    d = spark.read.schema(schemas.DEPLOYMENT).option("recursiveFileLookup", "true").csv(path, header=True)
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"/device=([^/]+)/", 1)
+    device = F.when(folder != "", folder).otherwise(F.regexp_replace(file_name(), r"\.csv$", ""))
+    return d.withColumn("device", device).where("begin is not null and end is not null")
 
 
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -73,13 +75,13 @@ def read_arrow(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def parse_water(lines: DataFrame, text: str = "value") -> DataFrame:
     """``timestamp <?xml ...>`` lines to date and readings; lines without exactly one marker go.
 
-    Readings are parsed as one struct by the JVM's XML reader.
+    The path datapacket/data is cut out once, each reading from that by a pattern of its own: no
+    reader is set up for a row.  A reading that is absent or no number is NULL.
     """
-    parts = F.split(text, r"<\?xml", -1)
-    data = F.from_xml(F.concat(F.lit("<?xml"), F.get("_parts", F.lit(1))), F.lit("data struct<" + ", ".join(f"{c}: double" for c in READINGS) + ">"))
-    d = lines.withColumn("_parts", parts).where(F.size("_parts") == 2).withColumn("_x", data)
-    d = d.withColumn("date", times.parse_compact(F.trim(F.get("_parts", F.lit(0)))))
-    return d.withColumns({c: F.col(f"_x.data.{c}") for c in READINGS}).drop("_parts", "_x", text)
+    d = lines.withColumn("_parts", F.split(text, r"<\?xml", -1)).where(F.size("_parts") == 2)
+    d = d.withColumns({"date": times.parse_compact(F.trim(F.get("_parts", F.lit(0)))), "_body": F.regexp_extract(F.get("_parts", F.lit(1)), r"(?s)<datapacket\b[^>]*>.*?<data\b[^>]*>(.*?)</data\s*>", 1)})
+    reading = lambda c: F.nanvl(F.regexp_extract("_body", rf"<{c}(?:\s[^>]*)?>([^<]*)</{c}\s*>", 1).try_cast("double"), F.lit(None).cast("double"))
+    return d.withColumns({c: reading(c) for c in READINGS}).drop("_parts", "_body", text)
 
 
 def listing(spark: SparkSession, path: str) -> DataFrame:
