@@ -63,6 +63,11 @@ def zulu_to_offset(text: Column) -> Column:
     return F.replace(text, F.lit("Z"), F.lit("+00:00"))
 
 
+def without_punctuation(text: Column) -> Column:
+    """``2020-01-31T23:59:59.123Z`` to ``20200131T235959.123Z``: dashes and colons go."""
+    return F.translate(text, "-:", "")
+
+
 def duration_text(seconds: Column) -> Column:
     """Seconds to ``N days HH:MM:SS``."""
     s = F.floor(seconds).cast("long")

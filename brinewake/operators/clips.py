@@ -9,20 +9,29 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import times
+from ..functions.labels import EXCLUSION_MARGIN
 from .ranges import range_join
 
 # fixed values: a recording lasts five minutes; a clip needs 3200 ms
 RECORDING_US, SHORTEST_CLIP_MS = 5 * times.MINUTE, 3200
 
 
-def overlaps(intervals: DataFrame, recordings: DataFrame, length_us: int = RECORDING_US, least_ms: int = SHORTEST_CLIP_MS) -> DataFrame:
+def with_radius(intervals: DataFrame, inclusion: int | None = None, exclusion: int | None = None) -> DataFrame:
+    """The intervals of one radius; all of them if none is chosen."""
+    if inclusion is None and exclusion is None:
+        return intervals
+    return intervals.where(F.col("inclusion_radius") == (inclusion if inclusion is not None else exclusion - EXCLUSION_MARGIN))
+
+
+def overlaps(intervals: DataFrame, recordings: DataFrame, length_us: int = RECORDING_US, least_ms: int = SHORTEST_CLIP_MS, keys: tuple[str, ...] = ()) -> DataFrame:
     """(interval columns, recording columns, start_ms, stop_ms) of true overlaps.
 
-    ``intervals``: begin_us, end_us; ``recordings``: wav_us (start).  A recording that starts up to
-    its length before the interval counts, both ends inclusive.
+    ``intervals``: keys, begin_us, end_us; ``recordings``: keys, wav_us (start).  A recording that
+    starts up to its length before the interval counts, both ends inclusive; ``keys`` (the device) must
+    agree.
     """
     i = intervals.withColumn("low_us", F.col("begin_us") - length_us)
-    d = range_join(recordings, i, "wav_us", "low_us", "end_us", max(length_us, 10 * times.MINUTE)).drop("low_us")
+    d = range_join(recordings, i, "wav_us", "low_us", "end_us", max(length_us, 10 * times.MINUTE), keys).drop("low_us")
     d = d.withColumns({"start_ms": F.greatest(F.lit(0), F.floor((F.col("begin_us") - F.col("wav_us")) / 1000)), "stop_ms": F.least(F.lit(length_us // 1000), F.floor((F.col("end_us") - F.col("wav_us")) / 1000))})
     return d.where(F.col("stop_ms") - F.col("start_ms") >= least_ms)
 
@@ -32,6 +41,12 @@ def numbered(intervals: DataFrame, keys: Sequence[str]) -> DataFrame:
     return intervals.withColumn("clip_index", F.row_number().over(W.partitionBy(*keys).orderBy("begin_us", "end_us")) - 1)
 
 
+def ordered_files(found: DataFrame, keys: Sequence[str], name: str = "path") -> DataFrame:
+    """Per interval its recordings, by (time, name), each with the part that shows the interval."""
+    part = F.struct("wav_us", F.col(name).alias("name"), "start_ms", "stop_ms")
+    return found.groupBy(*keys).agg(F.array_sort(F.collect_list(part)).alias("files"))
+
+
 def collapse(messages: DataFrame, file_col: str = "file", by: str = "mmsi", type_col: str = "type_and_cargo") -> DataFrame:
     """Ship segments: runs of typed messages, in time order within a file, of one vessel (or type).
 

@@ -24,13 +24,18 @@ def mean_readings(intervals: DataFrame, readings: DataFrame, columns: Sequence[s
     return intervals.join(means, list(keys), "left")
 
 
-def normalised(readings: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Adds ``c_norm``: min-max scaled by the whole table (one row, so cheap to send)."""
+def scaled(rows: DataFrame, readings: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Adds ``c_norm``: min-max scaled by the ends of all readings (one row, so cheap to send)."""
     ends = readings.agg(*[F.min(c).alias(f"_lo_{c}") for c in columns], *[F.max(c).alias(f"_hi_{c}") for c in columns])
-    d = readings.crossJoin(F.broadcast(ends))  # exactly one row
+    d = rows.crossJoin(F.broadcast(ends))  # exactly one row
     return d.withColumns({f"{c}_norm": min_max(F.col(c), F.col(f"_lo_{c}"), F.col(f"_hi_{c}")) for c in columns}).drop(*[f"_{p}_{c}" for p in ("lo", "hi") for c in columns])
 
 
+def normalised(readings: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Readings scaled by the whole table."""
+    return scaled(readings, readings, columns)
+
+
 def first_vessel(messages: DataFrame, keys: Sequence[str], radius: float) -> DataFrame:
     """(type, mmsi) of the first message within the radius; a NULL type is not skipped."""
     near = messages.where(F.col("distance") <= radius)

@@ -29,6 +29,35 @@ def class_totals(meta: DataFrame, classes: Sequence[str]) -> DataFrame:
     return names.join(sums, "label", "left").select("label", "rank", F.coalesce("total_us", F.lit(0)).alias("total_us"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
+def extreme_classes(totals: DataFrame) -> DataFrame:
+    """One row: the classes of greatest and least total; of equal ones the first of the list."""
+    place = lambda sign: F.struct(F.col("total_us") * sign, F.col("rank"))
+    return totals.agg(F.min_by("label", place(-1)).alias("largest"), F.min_by("label", place(1)).alias("smallest"), F.max("total_us").alias("most_us"), F.min("total_us").alias("least_us"))
+
+
+def head(rows: DataFrame, order: Sequence[str], last: int = 50) -> DataFrame:
+    """Rows 0 to ``last`` by ``order``, the last included (the report's 51 rows): the limit is the feature."""
+    return rows.orderBy(*order).limit(last + 1)
+
+
+def batch(rows: DataFrame, order: Sequence[str], first: int, size: int = 10) -> DataFrame:
+    """Rows ``first`` + 1 to ``first`` + ``size`` by ``order``, counted from 0: a slice of a listing.
+
+    Only the rows up to the slice's end are sorted, so no task holds the listing.
+    """
+    upto = rows.orderBy(*order).limit(first + size + 1)
+    return upto.orderBy(*order).offset(first + 1)
+
+
+def above_noise(rows: DataFrame, background: str | int = "background", label: str = "label", value: str = "std", alpha: float = 0.0, digits: int = 9) -> DataFrame:
+    """Adds ``valid``: whether a vessel row's fluctuation reaches the background's mean and ``alpha``
+    deviations; background rows always are.  The limit is rounded, so sums in another order agree."""
+    quiet = F.when(F.col(label) == background, F.col(value))
+    limit = rows.agg(F.round(F.avg(quiet) + alpha * F.coalesce(F.stddev_pop(quiet), F.lit(0.0)), digits).alias("_limit"))
+    d = rows.crossJoin(F.broadcast(limit))  # one row
+    return d.withColumn("valid", (F.col(label) == background) | F.coalesce(F.col(value) >= F.col("_limit"), F.lit(False))).drop("_limit")
+
+
 def _scalars(totals: DataFrame, **columns: Column) -> DataFrame:
     return F.broadcast(totals.agg(*[c.alias(n) for n, c in columns.items()]))  # one row
 

@@ -22,11 +22,13 @@ def read_recordings(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.wav").load(path).select("path", device.alias("device"), start.alias("start"), "content")
 
 
-def slice_wav(content: bytes, start_ms: int, stop_ms: int) -> bytes:
-    """The WAV bytes between two offsets; only those frames are decoded."""
+def slice_wav(content: bytes, start_ms: int = 0, stop_ms: int | None = None) -> bytes:
+    """The WAV bytes between two offsets; only those frames are decoded.  A negative offset counts
+    from the end, and none is the end."""
     with wave.open(io.BytesIO(content)) as w:
         rate, n = w.getframerate(), w.getnframes()
-        a, b = min(n, max(0, start_ms * rate // 1000)), min(n, max(0, stop_ms * rate // 1000))
+        place = lambda ms: min(n, max(0, ms * rate // 1000 + (n if ms < 0 else 0)))
+        a, b = place(start_ms), n if stop_ms is None else place(stop_ms)
         w.setpos(a)
         return to_wav(w.readframes(max(0, b - a)), rate, w.getnchannels(), w.getsampwidth())
 
@@ -80,6 +82,16 @@ def clip(content: Column, start_ms: Column, stop_ms: Column) -> Column:
     return cut(content, start_ms, stop_ms)
 
 
+def joined(contents: Column) -> Column:
+    """One WAV of an array of WAVs of the same form, in the array's order; NULL of an empty one."""
+
+    @F.pandas_udf("binary")
+    def join(s: pd.Series) -> pd.Series:
+        return pd.Series([join_wav(list(x)) if x is not None and len(x) else None for x in s])
+
+    return join(contents)
+
+
 def median_of(x: np.ndarray, kernel: int) -> np.ndarray:
     """Running median with reflected edges, over a sliding view."""
     half = kernel // 2
@@ -110,12 +122,14 @@ def write_clips(clips: DataFrame, folder: str) -> None:
 
     def save(rows) -> None:
         import os
+        import uuid
 
-        os.makedirs(folder, exist_ok=True)
         for r in rows:
-            temporary = os.path.join(folder, f".{r['name']}.tmp")
+            path = os.path.join(folder, r["name"])
+            os.makedirs(os.path.dirname(path), exist_ok=True)
+            temporary = f"{path}.{uuid.uuid4().hex}.tmp"
             with open(temporary, "wb") as f:
                 f.write(r["content"])
-            os.replace(temporary, os.path.join(folder, r["name"]))
+            os.replace(temporary, path)
 
     clips.select("name", "content").foreachPartition(save)
