@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import geo, labels, signal, times
 from ..operators import cleaning, clips, interpolate, metadata, report, sampling, scenario
-from ..sources import audio, nmea, text
+from ..sources import audio, nmea, remote, text
 from . import views
 from .views import AIS_SQL, META_SQL, PRIORITIES, QUIET, RADII, WATER_SQL, table
 
@@ -182,10 +185,38 @@ def radius_filter(spark, sf_dir):
     return d.select("event_id", "station", F.round("distance_to_station", 3).alias("metres"))
 
 
-@query()
+def _geodesic_sql(source: str, rounds: int = 6) -> str:
+    """CTEs from (sx, sy, x, y) to ``far`` with metres: Vincenty's formula, a CTE a step."""
+    f, a = geo.FLATTENING, geo.EQUATOR_M
+    b = a * (1 - f)
+    n = lambda v: f"{v!r}::DOUBLE"
+    sphere = """sqrt(power(cu2 * sin(lam), 2) + power(cu1 * su2 - su1 * cu2 * cos(lam), 2)) AS sin_s, su1 * su2 + cu1 * cu2 * cos(lam) AS cos_s,
+    cu1 * cu2 * sin(lam) / nullif(sin_s, 0) AS sin_a, atan2(sin_s, cos_s) AS sigma, 1 - sin_a * sin_a AS cos2a, coalesce(cos_s - 2 * su1 * su2 / nullif(cos2a, 0), 0) AS cos_m"""
+    out = [f"v0 AS (SELECT *, atan(tan(radians(sy)) * {n(1 - f)}) AS u1, atan(tan(radians(y)) * {n(1 - f)}) AS u2, sin(u1) AS su1, cos(u1) AS cu1, sin(u2) AS su2, cos(u2) AS cu2, radians(x - sx) AS gap, gap AS lam FROM {source})"]
+    keep = "event_id, station, sx, sy, x, y, su1, cu1, su2, cu2, gap"
+    for i in range(rounds):
+        out.append(f"s{i} AS (SELECT *, {sphere}, {n(f / 16)} * cos2a * (4 + {n(f)} * (4 - 3 * cos2a)) AS k FROM v{i})")
+        out.append(f"v{i + 1} AS (SELECT {keep}, gap + (1 - k) * {n(f)} * sin_a * (sigma + k * sin_s * (cos_m + k * cos_s * (2 * cos_m * cos_m - 1))) AS lam FROM s{i})")
+    out.append(f"s{rounds} AS (SELECT *, {sphere}, cos2a * {n((a**2 - b**2) / b**2)} AS sq, 1 + sq / 16384 * (4096 + sq * (-768 + sq * (320 - 175 * sq))) AS ka, sq / 1024 * (256 + sq * (-128 + sq * (74 - 47 * sq))) AS kb FROM v{rounds})")
+    delta = "kb * sin_s * (cos_m + kb / 4 * (cos_s * (2 * cos_m * cos_m - 1) - kb / 6 * cos_m * (4 * sin_s * sin_s - 3) * (4 * cos_m * cos_m - 3)))"
+    out.append(f"far AS (SELECT event_id, station, CASE WHEN x = sx AND y = sy THEN 0 ELSE {n(b)} * ka * (sigma - {delta}) END AS metres FROM s{rounds})")
+    return ",\n".join(out)
+
+
+_PAIRS_SQL = f"WITH {AIS_SQL}, st AS (SELECT * FROM (VALUES ('west', -122.95::DOUBLE, 49.03::DOUBLE), ('east', -122.85::DOUBLE, 49.06::DOUBLE)) v(station, sx, sy)), p AS (SELECT event_id, station, sx, sy, x, y FROM ais, st), {_geodesic_sql('p')}"
+
+
+@query(_PAIRS_SQL + " SELECT event_id, station, round(metres + 1e-7::DOUBLE, 3) AS metres FROM far")
 def geodesic_distance(spark, sf_dir):
-    d = views.ais(spark, sf_dir).crossJoin(F.broadcast(_stations(spark)))  # two constant rows
-    return d.select("event_id", "station", F.round(geo.geodesic(F.col("sx"), F.col("sy"), F.col("x"), F.col("y")), 3).alias("metres"))
+    d = views.ais(spark, sf_dir).select("event_id", "x", "y").crossJoin(F.broadcast(_stations(spark)))  # two constant rows
+    far = geo.geodesic(F.col("sx"), F.col("sy"), F.col("x"), F.col("y"))
+    return d.select("event_id", "station", F.round(far + 1e-7, 3).alias("metres"))
+
+
+@query(_PAIRS_SQL + " SELECT event_id, station, round(metres + 1e-7::DOUBLE, 3) AS metres FROM far WHERE ceil(metres) <= 6000")
+def radius_filter_geodesic(spark, sf_dir):
+    d = cleaning.near_station(views.ais(spark, sf_dir), _stations(spark), 6000, geo.geodesic)
+    return d.select("event_id", "station", F.round(F.col("distance_to_station") + 1e-7, 3).alias("metres"))
 
 
 _DEPLOYMENTS = (("A", "1995-01-10 05:00:00", "1995-02-20 07:00:00"), ("B", "1995-02-01 00:00:00", "1995-03-15 23:00:00"), ("C", "1996-01-01 12:00:00", "1996-06-01 12:00:00"))
@@ -224,6 +255,38 @@ def file_manifest_anti(spark, sf_dir):
     return cleaning.not_done(available, done, F.regexp_replace("name", r"\.txt$", ""), F.regexp_replace("output", r"_parsed\.json$", ""))
 
 
+class _Archive:
+    """A client of an archive that knows the deployments and a file a day of each."""
+
+    def deployments(self, device):
+        return [{"begin": a, "end": b, "latitude": 49.0, "longitude": -123.0, "depth": 100.0, "location": "strait"} for n, a, b in (*_DEPLOYMENTS, ("A", "1994-01-01 00:00:00", "1994-01-02 00:00:00"), ("B", "", ""), ("C", "1997-01-01 00:00:00", None)) if n == device]
+
+    def list(self, request):
+        begin = datetime.datetime.fromisoformat(request["begin"])
+        days = (datetime.datetime.fromisoformat(request["end"]) - begin).days
+        return [f"{request['device']}_{begin + datetime.timedelta(days=i):%Y%m%d}.{request['extension']}" for i in range(days + 1)]
+
+    def fetch(self, name):
+        return name.encode() * 3
+
+
+_ARCHIVE_SQL = f"(VALUES {_DEPLOYMENT_ROWS}, ('A', TIMESTAMP '1994-01-01 00:00:00', TIMESTAMP '1994-01-02 00:00:00')) d(device, begin, finish)"
+
+
+@query(f"SELECT device, begin, finish AS \"end\", row_number() OVER (PARTITION BY device ORDER BY begin) AS place FROM {_ARCHIVE_SQL}")
+def deployments_by_begin(spark, sf_dir):
+    d = remote.query_deployments(spark, ("A", "B", "C"), _Archive)
+    d = d.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("begin", "end")})
+    return d.select("device", "begin", "end", F.row_number().over(W.partitionBy("device").orderBy("begin")).cast("long").alias("place"))
+
+
+@query(f"SELECT name, length(name) * 3 AS size FROM (SELECT DISTINCT device || '_' || strftime(day, '%Y%m%d') || '.wav' AS name FROM (SELECT device, unnest(generate_series(begin, begin + INTERVAL 1 DAY * (epoch(finish - begin)::BIGINT // 86400)::INTEGER, INTERVAL 1 DAY)) AS day FROM {_ARCHIVE_SQL}))")
+def archive_fetch(spark, sf_dir):
+    requests = remote.deployment_filters(remote.query_deployments(spark, ("A", "B", "C"), _Archive), "recordings", {"recordings": F.col("device")}, {"recordings": "wav"})
+    names = remote.list_files(requests, _Archive, 4)
+    return remote.fetch(names, _Archive, 4).select("name", F.octet_length("content").cast("long").alias("size"))
+
+
 # -- tracks ---------------------------------------------------------------------------------------
 
 _GAPS_SQL = f"""WITH {AIS_SQL}, many AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY mmsi) AS n FROM ais) WHERE n > 1),
@@ -281,6 +344,23 @@ def interpolate_time_weighted(spark, sf_dir):
     return _filled(spark, sf_dir, "time")
 
 
+_TRACK_SQL = f"""WITH {AIS_SQL}, o AS (SELECT event_id, mmsi, sog, cog, row_number() OVER (PARTITION BY mmsi ORDER BY at_us)::DOUBLE AS rn FROM ais),
+s AS (SELECT *, last_value(CASE WHEN sog IS NOT NULL THEN rn END IGNORE NULLS) OVER a AS p0, last_value(sog IGNORE NULLS) OVER a AS v0, first_value(CASE WHEN sog IS NOT NULL THEN rn END IGNORE NULLS) OVER b AS p1, first_value(sog IGNORE NULLS) OVER b AS v1 FROM o
+  WINDOW a AS (PARTITION BY mmsi ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), b AS (PARTITION BY mmsi ORDER BY rn ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))"""
+
+
+@query(_TRACK_SQL + " SELECT event_id, mmsi, round(1e-9::DOUBLE + CASE WHEN v1 IS NULL THEN v0 ELSE v0 + (v1 - v0) * coalesce((rn - p0) / nullif(p1 - p0, 0), 0) END, 6) AS sog FROM s WHERE v0 IS NOT NULL")
+def trailing_gap_drop(spark, sf_dir):
+    m = views.ais(spark, sf_dir).select("event_id", "mmsi", "at_us", "sog", "cog")
+    return report.track_points(m, values=("sog", "cog")).select("event_id", "mmsi", _rounded("sog"))
+
+
+@query(f"WITH {AIS_SQL} SELECT 'all' AS step, count(*) AS n_rows, count(DISTINCT mmsi) AS n_vessels FROM ais UNION ALL SELECT 'typed', count(*), count(DISTINCT mmsi) FROM ais WHERE type_and_cargo IS NOT NULL UNION ALL SELECT 'near', count(*), count(DISTINCT mmsi) FROM ais WHERE distance <= 300")
+def vessel_counts(spark, sf_dir):
+    m = views.ais(spark, sf_dir).select("mmsi", "type_and_cargo", "distance")
+    return report.vessel_counts({"all": m, "typed": m.where("type_and_cargo is not null"), "near": m.where("distance <= 300")})
+
+
 # -- clips ----------------------------------------------------------------------------------------
 
 
@@ -295,6 +375,33 @@ def clip_overlap(spark, sf_dir):
     return d.select("kind", "inclusion_radius", "clip_index", "wav_id", F.col("start_ms").cast("long").alias("start_ms"), F.col("stop_ms").cast("long").alias("stop_ms"))
 
 
+_PARTS_SQL = """, i AS (SELECT *, row_number() OVER (PARTITION BY kind, inclusion_radius ORDER BY begin_us, end_us)::INTEGER - 1 AS clip_index FROM intervals WHERE inclusion_radius = 6000),
+w AS (SELECT event_id AS wav_id, epoch_us(ts) AS wav_us, event_type AS device FROM events),
+p AS (SELECT kind, clip_index, wav_id, wav_us, device, greatest(0, floor((begin_us - wav_us) / 1000)::BIGINT) AS start_ms, least(300000, floor((end_us - wav_us) / 1000)::BIGINT) AS stop_ms
+  FROM i JOIN w ON wav_us BETWEEN begin_us - 300000000 AND end_us)"""
+
+
+def _parts(spark, sf_dir):
+    i = clips.numbered(clips.with_radius(_intervals(spark, sf_dir), exclusion=8000), ("kind", "inclusion_radius"))
+    wavs = table(spark, sf_dir, "events").select(F.col("event_id").alias("wav_id"), times.epoch_us(F.col("ts")).alias("wav_us"), F.col("event_type").alias("device"))
+    return clips.overlaps(i, wavs)
+
+
+@query(_cascade_sql() + _PARTS_SQL + " SELECT kind, clip_index, wav_id, start_ms, stop_ms, device || '_' || strftime(make_timestamp(wav_us + start_ms * 1000), '%Y%m%dT%H%M%S.') || lpad(((wav_us + start_ms * 1000) // 1000 % 1000)::VARCHAR, 3, '0') || 'Z_' || clip_index || '.wav' AS clip FROM p WHERE stop_ms - start_ms >= 3200")
+def radius_clips(spark, sf_dir):
+    d = _parts(spark, sf_dir)
+    name = clips.clip_name(F.col("device"), times.from_epoch_us(F.col("wav_us") + F.col("start_ms") * 1000), F.col("clip_index"))
+    return d.select("kind", "clip_index", "wav_id", F.col("start_ms").cast("long").alias("start_ms"), F.col("stop_ms").cast("long").alias("stop_ms"), name.alias("clip"))
+
+
+@query(_cascade_sql() + _PARTS_SQL + " SELECT kind, clip_index, string_agg(wav_id || ':' || start_ms || ':' || stop_ms, ',' ORDER BY wav_us, wav_id::VARCHAR) AS files FROM p WHERE stop_ms - start_ms >= 3200 GROUP BY kind, clip_index")
+def files_by_time(spark, sf_dir):
+    found = _parts(spark, sf_dir).withColumn("name", F.col("wav_id").cast("string"))
+    d = clips.ordered_files(found, ("kind", "clip_index"), "name")
+    part = lambda f: F.concat_ws(":", f["name"], f["start_ms"].cast("string"), f["stop_ms"].cast("string"))
+    return d.select("kind", "clip_index", F.array_join(F.transform("files", part), ",").alias("files"))
+
+
 _SEGMENTS_SQL = f"""WITH {AIS_SQL}, f AS (SELECT * FROM (SELECT * REPLACE (coalesce(type_and_cargo, max(type_and_cargo) OVER (PARTITION BY file, mmsi)) AS type_and_cargo) FROM ais) WHERE type_and_cargo IS NOT NULL),
 n AS (SELECT *, CASE WHEN mmsi = lag(mmsi) OVER (PARTITION BY file ORDER BY at_us) THEN 0 ELSE 1 END AS new FROM f),
 r AS (SELECT *, sum(new) OVER (PARTITION BY file ORDER BY at_us) AS run FROM n),
@@ -379,6 +486,22 @@ def class_report(spark, sf_dir):
     return report.class_report(views.meta(spark, sf_dir), _REPORT_CLASSES)
 
 
+@query(f"""WITH {META_SQL}, c AS (SELECT unnest({list(_REPORT_CLASSES)}) AS label), s AS (SELECT c.label, count(DISTINCT MMSI) AS n, min(date) AS a, max(date) AS b, coalesce(sum(duration_us), 0)::BIGINT AS t, count(row_id) AS k FROM c LEFT JOIN meta USING (label) GROUP BY c.label)
+SELECT concat_ws(' | ', label, n::VARCHAR, strftime(a, '%Y-%m-%d %H:%M:%S'), strftime(b, '%Y-%m-%d %H:%M:%S'), (t // 86400000000) || ' days ' || lpad((t // 1000000 % 86400 // 3600)::VARCHAR, 2, '0') || ':' || lpad((t // 1000000 % 3600 // 60)::VARCHAR, 2, '0') || ':' || lpad((t // 1000000 % 60)::VARCHAR, 2, '0'), k::VARCHAR) AS value FROM s""")
+def report_text(spark, sf_dir):
+    return report.report_lines(report.class_report(views.meta(spark, sf_dir), _REPORT_CLASSES))
+
+
+@query(f"""WITH {META_SQL}, {WATER_SQL}, m AS (SELECT row_id, MMSI, class_code, date, duration_us, {_CLASS_SQL} AS label FROM meta),
+day AS (SELECT at_us, count(*) AS n, """ + ", ".join(f"sum({c}) AS {c}" for c in _WATER_COLUMNS) + " FROM water GROUP BY at_us), ends AS (SELECT " + ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in _WATER_COLUMNS) + " FROM water), j AS (SELECT m.row_id, m.MMSI, m.class_code, m.date::DATE AS date, m.duration_us / 1e6::DOUBLE AS duration_sec, m.label, " + ", ".join(f"sum({c}) / sum(n) AS {c}" for c in _WATER_COLUMNS) + " FROM m LEFT JOIN day ON at_us BETWEEN epoch_us(m.date) AND epoch_us(m.date) + 259200000000 GROUP BY ALL) SELECT row_id, MMSI, class_code, date::VARCHAR AS date, duration_sec, label, " + ", ".join(f"round({c} + 1e-9::DOUBLE, 6) AS {c}, round(({c} - lo_{c}) / nullif(hi_{c} - lo_{c}, 0) + 1e-9::DOUBLE, 6) AS {c}_norm" for c in _WATER_COLUMNS) + " FROM j, ends")
+def metadata_full(spark, sf_dir):
+    m = metadata.labelled(views.meta(spark, sf_dir)).withColumn("begin_us", times.epoch_us(F.col("date"))).withColumn("end_us", F.col("begin_us") + 3 * 86_400 * times.SECOND)
+    w = views.water(spark, sf_dir)
+    means = metadata.mean_readings(m.select("row_id", "begin_us", "end_us"), w, _WATER_COLUMNS, 3 * 86_400 * times.SECOND, ("row_id",)).drop("begin_us", "end_us")
+    d = metadata.scaled(m.join(means, "row_id", "left"), w, _WATER_COLUMNS)
+    return d.select("row_id", "MMSI", "class_code", F.to_date("date").cast("string").alias("date"), (F.col("duration_us") / 1e6).alias("duration_sec"), "label", *[_rounded(c) for c in _WATER_COLUMNS], *[_rounded(f"{c}_norm") for c in _WATER_COLUMNS])
+
+
 # -- sampling -------------------------------------------------------------------------------------
 
 _TOTALS_SQL = f"{META_SQL}, totals AS (SELECT label, sum(duration_us)::BIGINT AS total_us, count(*) AS n FROM meta GROUP BY label)"
@@ -416,6 +539,29 @@ def split_dataset(spark, sf_dir):
     return sampling.split(views.meta(spark, sf_dir), PRIORITIES).select("row_id", "label", "split")
 
 
+@query(f"""WITH {_TOTALS_SQL}, t AS (SELECT c.label, c.rank, coalesce(total_us, 0)::BIGINT AS total_us FROM (SELECT unnest({list((*PRIORITIES, '6-EMPTY', '7-EMPTY'))}) AS label, unnest(range(7)) AS rank) c LEFT JOIN totals USING (label))
+SELECT (SELECT label FROM t ORDER BY total_us DESC, rank LIMIT 1) AS largest, (SELECT label FROM t ORDER BY total_us, rank LIMIT 1) AS smallest, max(total_us) AS most_us, min(total_us) AS least_us FROM t""")
+def extreme_classes(spark, sf_dir):
+    return sampling.extreme_classes(sampling.class_totals(views.meta(spark, sf_dir), (*PRIORITIES, "6-EMPTY", "7-EMPTY")))
+
+
+@query(f"WITH {META_SQL} SELECT row_id, label FROM meta ORDER BY {_ORDER_SQL} LIMIT 51")
+def bounded_head(spark, sf_dir):
+    d = views.meta(spark, sf_dir).withColumn("at", sampling.shuffled(F.col("row_id")))
+    return sampling.head(d, ("at", "row_id")).select("row_id", "label")
+
+
+@query("SELECT o_orderkey, o_orderdate FROM (SELECT *, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS i FROM orders) WHERE i BETWEEN 101 AND 110")
+def batch_slice(spark, sf_dir):
+    return sampling.batch(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"), ("o_orderdate", "o_orderkey"), 100)
+
+
+@query("SELECT o_orderkey, replace(replace(strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.000Z'), '-', ''), ':', '') AS begin, replace(replace(o_orderpriority, '-', ''), ':', '') AS plain FROM orders")
+def punctuation_replace(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", times.without_punctuation(times.to_iso(F.col("o_orderdate"))).alias("begin"), times.without_punctuation(F.col("o_orderpriority")).alias("plain"))
+
+
 # -- signals --------------------------------------------------------------------------------------
 
 _FLUCTUATION_SQL = """e AS (SELECT vec_id, label, embedding::DOUBLE[] AS s, len(embedding) AS n FROM embeddings),
@@ -436,12 +582,14 @@ def fluctuation_std(spark, sf_dir):
 @query(f"""WITH {_FLUCTUATION_SQL}, r AS (SELECT vec_id, label, round(std, 6) AS std FROM f)
 SELECT vec_id, label, std, std >= (SELECT round(avg(std), 9) FROM r WHERE label = 0) AS valid FROM r WHERE label <> 0 UNION ALL SELECT vec_id, label, std, true FROM r WHERE label = 0""")
 def noise_threshold(spark, sf_dir):
-    d = fluctuation_std(spark, sf_dir)
-    quiet = d.where("label = 0")
-    alpha = 0.0
-    limit = quiet.agg(F.round(F.avg("std") + alpha * F.coalesce(F.stddev_pop("std"), F.lit(0.0)), 9).alias("limit"))
-    loud = d.where("label <> 0").crossJoin(F.broadcast(limit)).select("vec_id", "label", "std", (F.col("std") >= F.col("limit")).alias("valid"))  # one row
-    return loud.unionByName(quiet.withColumn("valid", F.lit(True)))
+    return sampling.above_noise(fluctuation_std(spark, sf_dir), 0)
+
+
+@query(f"""WITH {_FLUCTUATION_SQL}, r AS (SELECT vec_id, label, round(std, 6) AS std FROM f), v AS (SELECT *, label = 0 OR std >= (SELECT round(avg(std), 9) FROM r WHERE label = 0) AS valid FROM r)
+SELECT vec_id, std, valid, row_number() OVER (ORDER BY valid, std, vec_id) - 1 AS position FROM v WHERE label <> 0""")
+def noise_chart(spark, sf_dir):
+    rows = sampling.above_noise(fluctuation_std(spark, sf_dir), 0).where("label <> 0")
+    return report.bar_table(rows.select("vec_id", "std", "valid"), "std", ("vec_id",))
 
 
 # -- text and bytes -------------------------------------------------------------------------------
@@ -463,31 +611,71 @@ def ctd_xml_parse(spark, sf_dir):
     return text.parse_water(lines).select("l_orderkey", "l_linenumber", "date", *_WATER_COLUMNS)
 
 
+def _sentences(payloads: np.ndarray, head: str = "AIVDM,1,1,,A", fill: int = 0) -> pa.Array:
+    """Whole sentences of rows of payload characters."""
+    n = len(payloads)
+    wide = lambda x: np.tile(np.frombuffer(x.encode(), np.uint8), (n, 1))
+    body = np.concatenate([wide(f"{head},"), payloads, wide(f",{fill}")], axis=1)
+    sums = np.bitwise_xor.reduce(body, axis=1) if n else np.empty(0, np.uint8)
+    digits = np.frombuffer(b"0123456789ABCDEF", np.uint8)
+    rows = np.concatenate([wide("!"), body, wide("*"), digits[sums >> 4][:, None], digits[sums & 15][:, None]], axis=1)
+    return pa.array([r.tobytes().decode() for r in rows], pa.string())
+
+
+def _fixed(b: pa.RecordBatch, name: str, scale: float = 1.0, missing: float = 0) -> np.ndarray:
+    return np.rint(b.column(name).cast(pa.float64()).fill_null(missing).to_numpy(zero_copy_only=False) * scale).astype(np.int64)
+
+
 def _encoded(batches):
-    """Type 1 sentences of (event_id, mmsi, x, y, sog), for the decoder to read."""
+    """Sentences of (event_id, mmsi, id, x, y, sog, code) of the types 1, 3, 18, 19, 24 and, in two
+    parts, 5, for the decoder to read."""
     for b in batches:
-        out = []
-        for r in b.to_pylist():
-            sog = 1023 if r["sog"] is None else int(r["sog"])
-            fields = [(1, 6), (0, 2), (r["mmsi"], 30), (0, 4), (0, 8), (sog, 10), (0, 1), (round(r["x"] * nmea.DEGREE) & 0xFFFFFFF, 28), (round(r["y"] * nmea.DEGREE) & 0x7FFFFFF, 27), (0, 12), (511, 9), (0, 31)]
-            bits = 0
-            for v, n in fields:
-                bits = bits << n | v
-            body = "AIVDM,1,1,,A," + "".join(chr(v + 48 if v < 40 else v + 56) for v in (bits >> s & 63 for s in range(162, -1, -6))) + ",0"
-            out.append(f"!{body}*{nmea.checksum(body):02X}")
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], ["event_id", "payload"])
-
-
-@query(f"WITH {AIS_SQL} SELECT event_id, 1::INTEGER AS id, mmsi, round(x, 5) AS x, round(y, 5) AS y, sog FROM ais")
+        kind, zero = _fixed(b, "id"), np.zeros(b.num_rows, np.int64)
+        mmsi, sog, code = _fixed(b, "mmsi"), _fixed(b, "sog", 1, 1023), _fixed(b, "code")
+        x, y = _fixed(b, "x", nmea.DEGREE) & 0xFFFFFFF, _fixed(b, "y", nmea.DEGREE) & 0x7FFFFFF
+        place = [(sog, 10), (zero, 1), (x, 28), (y, 27), (zero + 900, 12), (zero + 511, 9)]
+        layouts = {
+            1: [(kind, 6), (zero, 2), (mmsi, 30), (zero, 12), *place, (zero, 31)],
+            18: [(kind, 6), (zero, 2), (mmsi, 30), (zero, 8), *place, (zero, 35)],
+            19: [(kind, 6), (zero, 2), (mmsi, 30), (zero, 8), *place, (zero, 130), (code, 8), (zero, 41)],
+            5: [(kind, 6), (zero, 2), (mmsi, 30), (zero, 2), (zero, 30), (zero, 162), (code, 8), (zero, 180)],
+            24: [(kind, 6), (zero, 2), (mmsi, 30), (zero + 1, 2), (code, 8), (zero, 120)],
+        }
+        for form, fields in layouts.items():
+            own = np.flatnonzero((kind == form) | (kind == 3) & (form == 1))
+            if not len(own):
+                continue
+            payload = nmea.encode_all([(v[own], n) for v, n in fields])
+            ids = b.column("event_id").take(pa.array(own))
+            if form == 5:  # two sentences, told apart by a sequence number
+                yield pa.RecordBatch.from_arrays([ids, _sentences(payload[:, :56], "BSVDM,2,1,7,B")], ["event_id", "payload"])
+                yield pa.RecordBatch.from_arrays([ids, _sentences(payload[:, 56:], "BSVDM,2,2,7,B")], ["event_id", "payload"])
+            else:
+                yield pa.RecordBatch.from_arrays([ids, _sentences(payload, "ABVDM,1,1,,B" if form == 18 else "AIVDM,1,1,,A")], ["event_id", "payload"])
+
+
+def _messages(spark, sf_dir, kinds, file):
+    m = views.ais(spark, sf_dir).where(F.col("id").isin(*kinds)).select("event_id", "mmsi", "id", "x", "y", "sog", (F.col("k") % 90).alias("code"))
+    m = m.withColumn("id", F.when((F.col("id") == 24) & (F.col("code") % 2 == 0), 19).otherwise(F.col("id")))
+    lines = m.mapInArrow(_encoded, "event_id long, payload string")
+    return nmea.messages(lines.withColumn("file", file), at="event_id")
+
+
+@query(f"WITH {AIS_SQL} SELECT event_id, id::INTEGER AS id, mmsi, round(x, 5) AS x, round(y, 5) AS y, sog, 90.0::DOUBLE AS cog FROM ais WHERE id IN (1, 3)")
 def nmea_decode(spark, sf_dir):
-    lines = views.ais(spark, sf_dir).select("event_id", "mmsi", "x", "y", "sog").mapInArrow(_encoded, "event_id long, payload string")
-    d = nmea.messages(lines.withColumn("file", F.lit("f")), at="event_id")
-    return d.select("event_id", "id", "mmsi", F.round("x", 5).alias("x"), F.round("y", 5).alias("y"), F.when(F.col("sog") < 1023, F.col("sog")).alias("sog"))
+    d = _messages(spark, sf_dir, (1, 3), F.lit("f"))
+    return d.select("event_id", "id", "mmsi", F.round("x", 5).alias("x"), F.round("y", 5).alias("y"), F.when(F.col("sog") < 1023, F.col("sog")).alias("sog"), (F.col("cog") / 10).alias("cog"))
 
 
-def _as_wav(batches):
-    import numpy as np
+@query(f"""WITH {AIS_SQL}, m AS (SELECT *, CASE WHEN id = 24 AND k % 90 % 2 = 0 THEN 19 ELSE id END AS kind FROM ais WHERE id IN (5, 18, 24))
+SELECT event_id, kind::INTEGER AS id, mmsi, CASE WHEN kind IN (18, 19) THEN round(x, 5) END AS x, CASE WHEN kind IN (18, 19) THEN round(y, 5) END AS y, CASE WHEN kind <> 18 THEN k % 90 END::INTEGER AS type_and_cargo FROM m""")
+def nmea_decode_parts(spark, sf_dir):
+    # a file an event: the two sentences of a message of type 5 meet by file, sequence and channel
+    d = _messages(spark, sf_dir, (5, 18, 24), F.col("event_id").cast("string"))
+    return d.select("event_id", "id", "mmsi", F.round("x", 5).alias("x"), F.round("y", 5).alias("y"), "type_and_cargo")
+
 
+def _as_wav(batches):
     for b in batches:
         wavs = [audio.to_wav((np.clip(np.array(v, float), -1, 1) * 1000).astype("<i2").tobytes(), 1000) for v in b.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(wavs, pa.binary())], ["vec_id", "content"])
