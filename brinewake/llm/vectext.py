@@ -8,6 +8,7 @@ executor, and every retry, computes the same value.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -59,16 +60,19 @@ SPACE = byte_class((0x20, 0x20), (0x09, 0x0D))
 #: Everything in ASCII but digits and letters (letters of either case count as words).
 PUNCT = byte_class((0x00, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7F))
 
-_powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
+#: Bytes that are hashed at a time; spans longer than that are hashed piece by piece.
+_BLOCK = 1 << 18
 
 
-def _power(kind: str, n: int) -> np.ndarray:
-    if len(_powers[kind]) < n:
-        size = 1 << max(16, (n - 1).bit_length())
-        steps = np.full(size, _BASE if kind == "up" else _BASE_INVERSE, np.uint64)
+@functools.cache
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, as many as two blocks need."""
+    out = []
+    for base in (_BASE, _BASE_INVERSE):
+        steps = np.full(2 * _BLOCK + 1, base, np.uint64)
         steps[0] = 1
-        _powers[kind] = np.cumprod(steps, dtype=np.uint64)
-    return _powers[kind][:n]
+        out.append(np.cumprod(steps, dtype=np.uint64))
+    return out[0], out[1]
 
 
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -111,10 +115,33 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray) ->
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, codes: np.ndarray = LOWER_CODES) -> np.ndarray:
-    """A 64-bit hash of the bytes of each span."""
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(codes[data] * _power("up", len(data)), out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * _power("down", len(data) + 1)[starts] + (ends - starts).astype(np.uint64))
+    """A 64-bit hash of the bytes of each span; ``starts`` must not decrease.
+
+    Works on a block of bytes at a time: beside the spans, memory does not grow with the text.
+    """
+    up, down = _powers()
+    size = ends - starts
+    out = np.zeros(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):
+        low = int(starts[at])
+        end = int(np.searchsorted(starts, low + _BLOCK))
+        own = np.arange(at, end)
+        short = own[size[at:end] <= _BLOCK]
+        if len(short):
+            high = int(ends[short].max())
+            sums = np.zeros(high - low + 1, np.uint64)
+            np.cumsum(codes[data[low:high]] * up[: high - low], out=sums[1:])
+            out[short] = (sums[ends[short] - low] - sums[starts[short] - low]) * down[starts[short] - low]
+        for i in own[size[at:end] > _BLOCK].tolist():
+            total, scale, step = 0, 1, pow(_BASE, _BLOCK, 1 << 64)
+            for a in range(int(starts[i]), int(ends[i]), _BLOCK):
+                piece = codes[data[a : min(a + _BLOCK, int(ends[i]))]]
+                total = (total + scale * int((piece * up[: len(piece)]).sum(dtype=np.uint64))) & _MASK
+                scale = scale * step & _MASK
+            out[i] = total
+        at = end
+    return mix(out + size.astype(np.uint64))
 
 
 def runs(hashes: np.ndarray, size: int) -> np.ndarray:
