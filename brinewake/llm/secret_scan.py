@@ -2,15 +2,23 @@ r"""Secret scan with a recursive decoding worklist.
 
 A text is layer 0.  Each layer is scanned; every encoded part of it (percent escapes, Unicode
 escapes, base64 runs, and compressed data inside any of them, as often as compressed and of all
-members) is decoded into a further layer, until no new layer appears.  Bytes that are not UTF-8 are
-read as latin-1, and where every other byte is null also as the text between; such layers, and those
-with control characters, count in ``n_layers`` only if a rule fires in them.  A layer is identified by a digest of its content and the place it came
-from, so a layer that decodes to itself (or a cycle of such) ends the work.  Every character of a
-layer carries the span of layer-0 code points it came from, so finds map back to the text.
+members) is decoded into a further layer, until no new layer appears.  The first ``LEVELS`` levels of
+escapes inside escapes are layers of their own; deeper ones are unwound together, in one pass over the
+text, so that a chain of n escapes costs n, not n * n (no find can hold an escape, so a find of a level
+between is part of one of the last level).  Bytes that are not UTF-8 are read as latin-1, and where
+every other byte is null also as the text between; such layers, and those with control characters,
+count in ``n_layers`` only if a rule fires in them.  A layer is identified by a digest of its content
+and the place it came from, so a layer that decodes to itself (or a cycle of such) ends the work.
+Every character of a layer carries the span of layer-0 code points it came from, so finds map back.
+
+A compressed layer of more than ``held_bytes`` is read as a stream, in blocks that overlap by 64 KiB,
+so a rule's find up to that length is whole in one of them; runs inside it that are themselves encoded
+are decoded as far as a block holds them.
 
 Defined results: a null or empty text has no spans; repeated rows give repeated results; a null id
-stays null; other columns are ignored.  A compressed layer that would expand beyond
-``max_layer_bytes`` is not skipped silently: its place is reported as kind ``oversize``.
+stays null; other columns are ignored.  What a compressed layer has beyond ``max_layer_bytes``, and a
+streamed layer that is itself compressed, is not skipped silently: its place is reported as kind
+``oversize``.
 """
 
 from __future__ import annotations
@@ -24,6 +32,7 @@ import html
 import lzma
 import re
 import zlib
+from collections.abc import Generator, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,12 +55,17 @@ _MAGIC = (b"\x1f\x8b", b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda", b"BZh
 
 _ANY_MAGIC = re.compile(b"|".join(map(re.escape, _MAGIC)))
 _WIDE = re.compile(rb"[\x01-\x7f](?:\x00[\x01-\x7f]){7,}")  # UTF-16 of either order; no rule needs more than ASCII
-_QUOTED = re.compile(r"[!-~]*%[0-9A-Fa-f]{2}[!-~]*")
+_QUOTED = re.compile(r"[!-~]+")
 _QUOTED_BYTE = re.compile(r"%([0-9A-Fa-f]{2})|[!-~]")
 _LITERAL = re.compile(r"""(?:\\(?:x[0-9A-Fa-f]{2}|u00[0-9A-Fa-f]{2}|U000000[0-9A-Fa-f]{2}|u\{0*[0-9A-Fa-f]{1,2}\}|[abfnrtv'"/\\])|&\#(?:[0-9]{1,3}|[xX][0-9A-Fa-f]{1,2});|[\x20-\x7f])+""")
 _LITERAL_BYTE = re.compile(r"""\\(?:x|u00|U000000)([0-9A-Fa-f]{2})|\\u\{0*([0-9A-Fa-f]{1,2})\}|&\#[xX]([0-9A-Fa-f]{1,2});|&\#([0-9]{1,3});|\\([abfnrtv'"/\\])|[\x20-\x7f]""")
 _NAMED = dict(zip("abfnrtv'\"/\\", b"\a\b\f\n\r\t\v'\"/\\", strict=True))
 
+#: Levels of escapes inside escapes that are layers of their own.
+LEVELS = 3
+#: Bytes of a streamed layer that are read at a time, and how far blocks overlap.
+_BLOCK, _OVERLAP = 1 << 20, 1 << 16
+
 COLUMNS = "n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_layers long, found array<struct<kind:string,via:string,start:long,end:long>>"
 
 
@@ -136,43 +150,103 @@ def _unescape(run: str):
             out.append(x)
             low.append(m.start())
             high.append(m.end())
-    return "".join(out), np.array(low), np.array(high)
+    return "".join(out), np.array(low, np.int64), np.array(high, np.int64)
+
+
+_HEXDIGITS = frozenset("0123456789abcdefABCDEF")
+_TAIL = re.compile(r"(?:\\u\{([0-9A-Fa-f]{1,6})\}|(&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});))\Z")
+
+
+def _ending(out: list[str]) -> tuple[int, str] | None:
+    """Length and character of the escape that ``out`` ends with, if that is ASCII or nothing."""
+    c, n = out[-1], len(out)
+    if c in _HEXDIGITS:
+        for size, head in ((3, ("%",)), (4, ("\\", "x")), (6, ("\\", "u")), (10, ("\\", "U"))):
+            if n >= size and tuple(out[n - size : n - size + len(head)]) == head and _HEXDIGITS.issuperset(out[n - size + len(head) :]):
+                code = int("".join(out[n - size + len(head) :]), 16)
+                return (size, chr(code)) if code < 128 else None
+    elif c in ";}":
+        m = _TAIL.search("".join(out[-10:]))
+        if m:
+            new = html.unescape(m[2]) if m[2] else chr(int(m[1], 16)) if int(m[1], 16) < 128 else None
+            if new is not None and (not new or len(new) == 1 and new < "\x80"):
+                return len(m.group()), new
+    return None
+
+
+def _unwound(layer: Layer) -> Layer | None:
+    """The layer with all escapes of ASCII characters decoded, and those that they make, to the last."""
+    out: list[str] = []
+    low, high, changed = [], [], False
+    for i, c in enumerate(layer.text):
+        out.append(c)
+        low.append(i)
+        high.append(i + 1)
+        while out and (hit := _ending(out)):
+            size, new = hit
+            first, last, changed = low[-size], high[-1], True
+            del out[-size:], low[-size:], high[-size:]
+            if not new:
+                break
+            out.append(new)
+            low.append(first)
+            high.append(last)
+    if not changed:
+        return None
+    low, high = np.array(low, np.int64), np.array(high, np.int64)
+    if layer.starts is not None:
+        low, high = layer.starts[low], layer.ends[high - 1]
+    return Layer("".join(out), low, high, (*layer.via, "nested"))
 
 
-def _inflate(raw: bytes, most: int) -> tuple[bytes, bool, bytes]:
-    """Decompressed bytes of all members in front, whether there were more than ``most``, and what follows."""
-    out, size, kind = [], 0, next(x for x in _MAGIC if raw.startswith(x))
+def _stream(raw: bytes) -> Generator[tuple[bytes, bool], None, bytes]:
+    """Decompressed blocks of all members in front, and whether each ends a member; returns what
+    follows.  A member that turns out malformed is part of that."""
+    kind = next(x for x in _MAGIC if raw.startswith(x))
     while raw.startswith(kind):
         try:
-            if kind == b"\x1f\x8b":
-                stream = zlib.decompressobj(31)
-            elif kind == b"BZh":
-                stream = bz2.BZ2Decompressor()
-            elif kind == b"\xfd7zXZ\x00":
-                stream = lzma.LZMADecompressor()
-            elif kind == b"\x28\xb5\x2f\xfd":
+            if kind == b"\x28\xb5\x2f\xfd":
                 import zstandard
 
-                stream = zstandard.ZstdDecompressor().decompressobj()
-            else:
-                stream = zlib.decompressobj()
-            if kind == b"\x28\xb5\x2f\xfd":
-                piece = stream.decompress(raw) if len(raw) < most else b"\0" * (most + 1)
-            else:
-                piece = stream.decompress(raw, most + 1 - size)
+                reader = zstandard.ZstdDecompressor().stream_reader(raw, read_across_frames=True)
+                while piece := reader.read(_BLOCK):
+                    yield piece, False
+                yield b"", True
+                return b""
+            zlibs = not (kind == b"BZh" or kind == b"\xfd7zXZ\x00")
+            stream = zlib.decompressobj(31 if kind == b"\x1f\x8b" else 15) if zlibs else bz2.BZ2Decompressor() if kind == b"BZh" else lzma.LZMADecompressor()
+            data, open_ = raw, True
+            while open_:
+                piece = stream.decompress(data, _BLOCK)
+                data = stream.unconsumed_tail if zlibs else b""
+                open_ = not stream.eof and bool(data if zlibs else not stream.needs_input) or bool(piece) and not stream.eof
+                yield piece, not open_
         except Exception:  # noqa: BLE001  any malformed stream: not compressed data after all
             break
-        out.append(piece)
+        raw = stream.unused_data if stream.eof else b""
+    return raw
+
+
+def _inflate(raw: bytes, most: int) -> tuple[bytes, bool, bytes]:
+    """Decompressed bytes of all whole members in front, whether there were more than ``most``, and what follows."""
+    done, member, size, stream = [], [], 0, _stream(raw)
+    while True:
+        try:
+            piece, ends = next(stream)
+        except StopIteration as end:
+            return b"".join(done), False, end.value
+        member.append(piece)
         size += len(piece)
         if size > most:
             return b"", True, b""
-        raw = stream.unused_data if stream.eof else b""
-    return b"".join(out), False, raw
+        if ends:
+            done += member
+            member = []
 
 
 def _opened(raw: bytes, most: int):
-    """(bytes, times inflated) of all that is in ``raw``, itself if it is not compressed; None for
-    bytes beyond ``most``."""
+    """(bytes, times inflated) of all that is in ``raw``, itself if it is not compressed; of what
+    expands beyond ``most`` the stream of its blocks."""
     work, seen = [(raw, 0)], set()
     while work:
         raw, times = work.pop()
@@ -183,7 +257,7 @@ def _opened(raw: bytes, most: int):
         if raw.startswith(_MAGIC):
             out, more, rest = _inflate(raw, most)
             if more:
-                yield None, times
+                yield _stream(raw), times + 1
                 continue
             if len(rest) < len(raw):
                 work += [(x, n) for x, n in ((out, times + 1), (rest, times)) if x]
@@ -208,7 +282,21 @@ def _texts(raw: bytes):
             yield m.group()[::2].decode(), at, at + 1, False
 
 
-def _from_escapes(layer: Layer, most: int):
+def _streamed(stream: Iterator[tuple[bytes, bool]], first: int, last: int, via: tuple[str, ...], most: int):
+    """Layers of the blocks of a stream, one at a time; (first, last, via) for what isn't read."""
+    tail, size = b"", 0
+    for piece, _ in stream:
+        if not size and piece.startswith(_MAGIC) or size > most:
+            yield first, last, via
+            return
+        size += len(piece)
+        block = tail + piece
+        for text, _, _, clear in _texts(block):
+            yield Layer(text, np.full(len(text), first), np.full(len(text), last), via, clear)
+        tail = block[-_OVERLAP:]
+
+
+def _from_escapes(layer: Layer, held: int, most: int):
     """Layers of compressed bytes that stand as percent or other escapes among plain characters."""
     ways = []
     if "%" in layer.text:
@@ -217,7 +305,7 @@ def _from_escapes(layer: Layer, most: int):
         ways.append(("unicode", _LITERAL, _LITERAL_BYTE, 43))
     for via, token, byte, plus in ways:
         for m in token.finditer(layer.text):
-            if via == "unicode" and not _ESCAPE.search(m.group()) or plus == 43 and via == "url" and "+" not in m.group():
+            if not (_ESCAPE if via == "unicode" else _PERCENT).search(m.group()) or plus == 43 and via == "url" and "+" not in m.group():
                 continue
             parts = list(byte.finditer(m.group()))
             raw = bytearray()
@@ -231,14 +319,14 @@ def _from_escapes(layer: Layer, most: int):
             for hit in _ANY_MAGIC.finditer(raw):
                 if hit.start() < end:
                     continue
-                out, more, rest = _inflate(raw[hit.start() :], most)
+                out, more, rest = _inflate(raw[hit.start() :], held)
                 if not out and not more:
                     continue
                 end = len(raw) - len(rest)
                 first, last = layer.place(m.start() + parts[hit.start()].start(), m.start() + parts[end - 1].end())
-                for opened, times in [(None, 0)] if more else _opened(out, most):
-                    if opened is None:
-                        yield first, last, (*layer.via, via, *["compressed"] * (times + (not more)))
+                for opened, times in [(_stream(raw[hit.start() :]), 0)] if more else _opened(out, held):
+                    if not isinstance(opened, bytes):
+                        yield _streamed(opened, first, last, (*layer.via, via, *["compressed"] * (times + 1)), most)
                         continue
                     for text, _, _, clear in _texts(opened):
                         yield Layer(text, np.full(len(text), first), np.full(len(text), last), (*layer.via, via, *["compressed"] * (times + 1)), clear)
@@ -272,8 +360,8 @@ def _line_groups(whole: str) -> list[tuple[int, str]]:
     return [(lines[i][0], whole[lines[i][0] : lines[j - 1][1]]) for i, j in dict.fromkeys(ranges) if i < j and (i, j) != (0, n)]
 
 
-def _from_base64(layer: Layer, most: int):
-    """Layers of the base64 runs; or (start, end, via) of a run that expands too far."""
+def _from_base64(layer: Layer, held: int, most: int):
+    """Layers of the base64 runs, and streams of layers."""
     for m in _BASE64.finditer(layer.text):
         whole = m.group()
         pieces = [(m.start(), whole)]
@@ -294,10 +382,10 @@ def _from_base64(layer: Layer, most: int):
             except (binascii.Error, ValueError):
                 continue
             first, last = layer.place(at, at + len(piece))
-            for opened, times in _opened(raw, most):
+            for opened, times in _opened(raw, held):
                 via = (*layer.via, "base64", *["compressed"] * times)
-                if opened is None:
-                    yield first, last, via
+                if not isinstance(opened, bytes):
+                    yield _streamed(opened, first, last, via, most)
                     done.append((at, at + len(piece)))
                     continue
                 for text, begins, ends, clear in _texts(opened):
@@ -327,14 +415,44 @@ def _from_base64(layer: Layer, most: int):
             yield Layer(text, low, high, via, False)
 
 
-def scan(text: str | None, max_layer_bytes: int = 1 << 24) -> tuple[list[tuple[int, str, int]], list[tuple[str, str, int, int]], int]:
+def _levels(via: tuple[str, ...]) -> int:
+    """How many levels of escapes lead to a layer, since the last other decoding."""
+    return next((i for i, v in enumerate(reversed(via)) if v not in ("url", "unicode", "nested")), len(via))
+
+
+def _decoded(layer: Layer, held: int, most: int):
+    """What a layer holds: layers, streams of layers, and places that are not read."""
+    new = []
+    if _levels(layer.via) >= LEVELS and (deep := _unwound(layer)):
+        new.append(deep)
+    else:
+        if "%" in layer.text:
+            new.append(_rewritten(layer, _PERCENT, _unpercent, "url"))
+        if "\\" in layer.text or "&#" in layer.text:
+            new.append(_rewritten(layer, _ESCAPE, _unescape, "unicode"))
+    yield from filter(None, new)
+    yield from _from_base64(layer, held, most)
+    yield from _from_escapes(layer, held, most)
+
+
+def scan(text: str | None, held_bytes: int = 1 << 24, max_layer_bytes: int = 1 << 30) -> tuple[list[tuple[int, str, int]], list[tuple[str, str, int, int]], int]:
     """Base spans, the spans that decoded layers add as (kind, via, start, end), and layers read."""
     text = text or ""
     base = scan_text(text)
     seen, known, added, layers = set(), {(k, s, e) for s, k, e in base}, [], 0
-    work = [Layer(text, None, None, ())]
+    work = [iter([Layer(text, None, None, ())])]  # what waits is decoded only when its turn comes
     while work:
-        layer = work.pop()
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+            continue
+        if not isinstance(layer, Layer):
+            if isinstance(layer, Iterator):
+                work.append(layer)
+            elif ("oversize", *layer[:2]) not in known:
+                known.add(("oversize", *layer[:2]))
+                added.append(("oversize", "+".join(layer[2]), *layer[:2]))
+            continue
         first, last = layer.place(0, len(layer.text)) if layer.text else (0, 0)
         key = hashlib.blake2b(f"{first}:{last}:{layer.text}".encode(errors="surrogatepass"), digest_size=16).digest() if layer.via else b""
         if key in seen:
@@ -348,21 +466,12 @@ def scan(text: str | None, max_layer_bytes: int = 1 << 24) -> tuple[list[tuple[i
                 if (kind, s, e) not in known:
                     known.add((kind, s, e))
                     added.append((kind, "+".join(layer.via), s, e))
-        if "%" in layer.text:
-            work += filter(None, [_rewritten(layer, _PERCENT, _unpercent, "url")])
-        if "\\" in layer.text or "&#" in layer.text:
-            work += filter(None, [_rewritten(layer, _ESCAPE, _unescape, "unicode")])
-        for new in (*_from_base64(layer, max_layer_bytes), *_from_escapes(layer, max_layer_bytes)):
-            if isinstance(new, Layer):
-                work.append(new)
-            elif ("oversize", *new[:2]) not in known:
-                known.add(("oversize", *new[:2]))
-                added.append(("oversize", "+".join(new[2]), *new[:2]))
+        work.append(_decoded(layer, held_bytes, max_layer_bytes))
     return base, added, layers
 
 
-def _row(text: str | None, most: int) -> dict:
-    base, added, layers = scan(text, most)
+def _row(text: str | None, held: int, most: int) -> dict:
+    base, added, layers = scan(text, held, most)
     rank = {k: i for i, k in enumerate((*KINDS, "oversize"))}
     every = sorted([(s, rank[k], e, k, "") for s, k, e in base] + [(s, rank[k], e, k, via) for k, via, s, e in added])
     return {
@@ -374,7 +483,7 @@ def _row(text: str | None, most: int) -> dict:
     }
 
 
-def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_layer_bytes: int = 1 << 24) -> DataFrame:
+def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_bytes: int = 1 << 24, max_layer_bytes: int = 1 << 30) -> DataFrame:
     """One row per input row: the id, counts, spans and finds (kind, decoding chain, span).
 
     Row by row, no shuffle; memory is one Arrow batch plus the layers of one text.
@@ -382,7 +491,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kind = docs.schema[id_col].dataType.simpleString()
 
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
-        rows = [_row(t, max_layer_bytes) for t in b.column(1).to_pylist()]
+        rows = [_row(t, held_bytes, max_layer_bytes) for t in b.column(1).to_pylist()]
         found = pa.list_(pa.struct([("kind", pa.string()), ("via", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
         kinds = {"base_sha256": pa.string(), "spans": pa.string(), "found": found}
         names = [c.strip().split(" ")[0] for c in COLUMNS.split(", ")]

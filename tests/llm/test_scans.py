@@ -2,14 +2,17 @@ import base64
 import bz2
 import gzip
 import hashlib
+import html
 import json
 import lzma
 import random
 import re
+import time
 import zlib
 from urllib.parse import quote, quote_plus
 
 import pytest
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -114,8 +117,72 @@ def test_span_of_a_part_of_a_base64_run_is_narrow():
 
 def test_cycles_end_and_bombs_are_reported():
     assert secret_scan.scan("%2525252525")[2] >= 4
-    bomb = base64.b64encode(gzip.compress(b"a" * (1 << 20))).decode()
-    assert ("oversize", "base64", 0, len(bomb)) in secret_scan.scan(bomb, 1000)[1]
+    bomb = base64.b64encode(gzip.compress(b"a" * (1 << 23))).decode()
+    assert ("oversize", "base64+compressed", 0, len(bomb)) in secret_scan.scan(bomb, 1000, 1 << 21)[1]
+    assert secret_scan.scan("%26%231;") == ([], [], 3)
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress, lambda x: zstandard.compress(x), lambda x: gzip.compress(b"first member ") + gzip.compress(x)])
+def test_layers_beyond_the_held_bytes_are_read_as_streams(pack):
+    """The secret stands across an edge of two blocks, and far behind the bytes that are held at once."""
+    raw = b"plain words " * 90_000
+    raw = raw[: (1 << 20) - 10] + SECRET.encode() + b" more" * 300_000
+    coded = base64.b64encode(pack(raw)).decode()
+    added = secret_scan.scan(f"see {coded} end", held_bytes=10_000)[1]
+    assert [x for x in added if x[0] == "assign"] and not [x for x in added if x[0] == "oversize"]
+    assert all(4 <= s < e <= 4 + len(coded) for _, _, s, e in added)
+
+
+@pytest.mark.parametrize(
+    ("chain", "n"),
+    [
+        (lambda n: "password%" + "25" * n + "3Dhunter2hunter2", 50_000),
+        (lambda n: "password\\x5c" + "x5c" * n + "x3Dhunter2hunter2", 30_000),
+        (lambda n: "password&#38;" + "#38;" * n + "#61;hunter2hunter2", 30_000),
+        (lambda n: "password" + "%5c" + "x25" + "5cx25" * n + "3Dhunter2hunter2", 20_000),
+        (lambda n: "&" * n + "&#1;" + "#1;" * n + "password&#61;hunter2hunter2", 20_000),
+    ],
+)
+def test_deep_nesting_costs_its_length(chain, n):
+    text = chain(n)
+    began = time.process_time()
+    added = secret_scan.scan(text)[1]
+    assert time.process_time() - began < 30
+    (hit, *_) = [x for x in added if x[0] == "assign"]
+    assert text[hit[2] :].startswith("password") and hit[3] == len(text)
+
+
+PIECES = ["password", "%3D", "=", "%253D", "\\x3d", "&#61;", "\\u003D", "%5Cx3d", "hunter2hunter2", " ", "%20", "%25", "25", "AKIA", "ABCDEFGH12345678", "%41", "&#x4B;", "IA", "0123456789abcdef", "%66", "\\u{66}", "\n", "é", "%C3%A9", "%"]
+
+
+def one_level(t):
+    """All layers a level of whole-text decoding away, by the plainest of means."""
+    yield re.sub(r"(?:%[0-9A-Fa-f]{2})+", lambda m: (raw := bytes.fromhex(m[0].replace("%", ""))) and (raw.decode() if not _bad(raw) else raw.decode("latin-1")), t)
+    code = r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})"
+    t = re.sub(code, lambda m: chr(int(next(filter(None, m.groups())), 16)), t)
+    yield re.sub(r"&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};", lambda m: html.unescape(m[0]), t)
+
+
+def _bad(raw):
+    try:
+        raw.decode()
+    except UnicodeDecodeError:
+        return True
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=12).map("".join))
+def test_every_layer_is_scanned(text):
+    """Whatever fires in some layer of a plain breadth-first decoding is reported as such a kind."""
+    seen, work, kinds = {text}, [text], set()
+    while work:
+        for new in one_level(work.pop()):
+            if new not in seen:
+                seen.add(new)
+                work.append(new)
+                kinds |= {k for _, k, _ in base_spans(new)}
+    base, added, _ = secret_scan.scan(text)
+    assert kinds <= {k for _, k, _ in base} | {k for k, *_ in added}
 
 
 def test_secret_edges(spark, edge, nothing):
