@@ -31,10 +31,13 @@ def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], Iterator[pa.RecordB
 def scratch_root(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where that is unset (tests, one machine) a temporary folder of our own is set.
+    Only where that is unset, on one machine, a temporary folder of our own is set; a cluster without
+    a shared folder is an error, since each executor would write to its own disk.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="brinewake-")
         spark.sparkContext.setCheckpointDir(folder)
         folder = spark.sparkContext.getCheckpointDir()
@@ -53,8 +56,26 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def hex_digest(column: Column) -> Column:
-    return F.lower(F.sha2(column.cast("binary"), 256))
+def attach(rows: DataFrame, one: DataFrame, key: str, value: str, spread: str, n: str = "n", most: int = 1000) -> DataFrame:
+    """``rows`` with column ``value`` of ``one`` by ``key``; NULL where there is none.
+
+    ``one`` has a row for each key, with the number ``n`` of rows that have it (a written table: it is
+    read three times).  No key makes a hot task: up to ``most`` keys are broadcast; of more keys, those
+    with over 1 / ``most`` of all rows, fewer than ``most`` by their number, and the rest is joined by
+    key.  There, rows that are done or have no key are dealt out by ``spread``.
+    """
+    values = one.select(F.col(key).alias("_key"), F.struct(F.col(value).alias("v")).alias("_one"))
+    total, keys = one.agg(F.sum(n), F.count("*")).first()
+    if keys <= most:
+        return rows.join(F.broadcast(values), F.col(key) == F.col("_key"), "left").withColumn(value, F.col("_one.v")).drop("_key", "_one")
+    hot = one.where(F.col(n) > total / most).select(F.col(key).alias("_hot"), F.struct(F.col(value).alias("v")).alias("_found"))
+    d = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left").drop("_hot")
+    done = F.col("_found").isNotNull() | F.col(key).isNull()
+    d = d.withColumn("_salt", F.when(done, F.pmod(F.hash(spread), F.lit(1 << 20)) + 1).otherwise(0))
+    d = d.withColumn("_by", F.when(done, F.lit(None)).otherwise(F.col(key)))
+    cold = one.where(F.col(n) <= total / most).select(F.col(key).alias("_key"), F.lit(0).alias("_none"), F.struct(F.col(value).alias("v")).alias("_one"))
+    d = d.join(cold, F.col("_by").eqNullSafe(F.col("_key")) & (F.col("_salt") == F.col("_none")), "left")
+    return d.withColumn(value, F.coalesce(F.col("_found.v"), F.col("_one.v"))).drop("_key", "_none", "_one", "_found", "_salt", "_by")
 
 
 def components(edges: DataFrame, src: str = "a", dst: str = "b", most_rounds: int = 60) -> DataFrame:

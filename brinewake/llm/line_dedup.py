@@ -1,11 +1,12 @@
 r"""Line dedup by pairwise alignment.
 
-Lines are compared without case and outer white space.  A shortest run is a run of adjacent lines
-with at least ``min_words`` words that loses them without its last or without its first line; a text
-has two to a line at most.  Of every shortest run the document of least id that has it is its first
-holder; a later document is aligned with the first holders of its runs, so the pairs grow with the
-lines, never with the square of a group, and no line is too common to count.  Every block of enough
-words is covered by the shortest runs inside it, so whatever document shares it, it is found.
+Lines are compared without case and outer white space.  The rare hashes that bring documents together
+are not of single lines, of which one may be in a third of all documents, but of the shortest runs of
+adjacent lines with at least ``min_words`` words, those that lose them without their last or without
+their first line; a text has two to a line at most.  Of every such run the document of least id that has
+it is its first holder; a later document is aligned with the first holders of its runs, so the pairs
+grow with the lines, never with the square of a group, and no run is too common to count.  Every block
+of enough words is covered by the shortest runs inside it, so whatever document shares it, it is found.
 
 Two documents are aligned by patience diff: lines unique to both sides anchor (a line repeated within
 a document by its n-th occurrence), the longest increasing run of anchors stands, and gaps are
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import vectext
-from .common import cut, map_batches
+from .common import attach, cut, map_batches
 
 _NEWLINE = vectext.byte_class((0x0A, 0x0A))
 
@@ -190,8 +191,8 @@ def _runs(counts: list[int], min_words: int) -> list[tuple[int, int]]:
 def deletions(table: DataFrame, min_words: int) -> DataFrame:
     """(doc, key, deleted: line positions) from a line table."""
     own = table.select("doc", F.explode(F.array_distinct("runs")).alias("run"))
-    first = own.groupBy("run").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first <> last").drop("last")
-    pairs = own.join(first, "run").where("doc <> first").select("doc", "first").distinct()
+    first = own.groupBy("run").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.count("*").alias("n")).where("first <> last").drop("last")
+    pairs = attach(own, cut(first), "run", "first", "doc").where("doc <> first").select("doc", "first").distinct()
     sides = pairs.join(table.select(F.col("doc").alias("first"), F.col("hashes").alias("earlier")), "first").join(table, "doc")
 
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
@@ -203,9 +204,16 @@ def deletions(table: DataFrame, min_words: int) -> DataFrame:
     return found.where(F.size("deleted") > 0).groupBy("doc", "key").agg(F.array_distinct(F.flatten(F.collect_list("deleted"))).alias("deleted"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 8) -> DataFrame:
+def free_name(name: str, columns: list[str]) -> str:
+    """``name``, with underscores behind it until no column is called so."""
+    while name.lower() in (c.lower() for c in columns):
+        name += "_"
+    return name
+
+
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 8, count_col: str = "lines_deleted") -> DataFrame:
     """All rows and columns of ``docs``, with common blocks deleted from later documents' texts, and
-    ``lines_deleted`` (int)."""
+    ``count_col`` (int; ``free_name`` of it where ``docs`` has such a column, which passes through)."""
     gone = deletions(cut(line_table(docs, id_col, text_col, min_words)), min_words)
     d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
     d = d.withColumns({"_doc": F.col(f"_row.`{id_col}`"), "_key": F.xxhash64(F.col(f"_row.`{text_col}`"))})
@@ -213,5 +221,5 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     d = d.join(gone, ["_doc", "_key"], "left").withColumn("_lines", F.when(F.col("_deleted").isNotNull(), F.split(F.col(f"_row.`{text_col}`"), "\n", -1)))
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_deleted"), lambda i: F.get("_lines", i))
     text = F.when(F.col("_deleted").isNull(), F.col(f"_row.`{text_col}`")).otherwise(F.array_join(kept, "\n"))
-    out = [text.alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in docs.columns if c != "lines_deleted"]
-    return d.select(*out, F.coalesce(F.size("_deleted"), F.lit(0)).alias("lines_deleted"))
+    out = [text.alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in docs.columns]
+    return d.select(*out, F.coalesce(F.size("_deleted"), F.lit(0)).alias(free_name(count_col, docs.columns)))
