@@ -32,6 +32,11 @@ _FOLD[65:91] = np.arange(97, 123)
 _FOLD[128:] = np.arange(128, 256)
 
 
+def has_letter(text: str | None) -> bool:
+    """Whether a text has an alphabetic character (fractions and superscripts are none)."""
+    return any(m.group().isalpha() for m in _LETTER.finditer(text or ""))
+
+
 def trigram_counts(data: np.ndarray, offsets: np.ndarray, dims: int) -> np.ndarray:
     """One row of trigram counts for each text of a chunk."""
     rows = len(offsets) - 1
@@ -122,7 +127,8 @@ class Model:
 
 
 def fit(texts: DataFrame, text_col: str = "text", lang_col: str = "lang", dims: int = 4096, centroids: int = 4, per_language: int = 1500, reject_quantile: float = 0.002) -> Model | None:
-    """Learn from ``texts``.  The sample is the texts of least hash of each language."""
+    """Learn from ``texts``.  The sample is, of each language, the ``per_language`` texts of least hash
+    among those whose hash falls in its share; copies of a text count once in it."""
     t = texts.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
     df, n = document_frequencies(t.select("text"), dims)
     if not n:
@@ -132,18 +138,24 @@ def fit(texts: DataFrame, text_col: str = "text", lang_col: str = "lang", dims:
     share = F.lit(0.0)
     for lang, size in sizes.items():
         share = F.when(F.col("lang") == lang, F.lit(per_language / size)).otherwise(share)
-    draw = F.pmod(F.xxhash64("text"), F.lit(1_000_003)) / 1_000_003.0
+    t = t.withColumn("draw", F.pmod(F.xxhash64("text"), F.lit(1 << 40)))
 
     def batch(b: pa.RecordBatch):
+        draws = b.column(2).to_numpy()
         for first, end, counts in _chunked(b.column(1), dims):
-            yield pa.RecordBatch.from_arrays([b.column(0)[first:end], pa.array([c.astype(np.uint16).tobytes() for c in np.minimum(counts, 65535)], pa.binary())], ["lang", "counts"])
+            _, new = np.unique(draws[first:end], return_index=True)  # of copies in a chunk one is enough
+            rows = [counts[i] for i in new]
+            yield pa.RecordBatch.from_arrays([b.column(0)[first:end].take(pa.array(new)), b.column(2)[first:end].take(pa.array(new)), pa.array([c.astype(np.uint16).tobytes() for c in np.minimum(rows, 65535)], pa.binary())], ["lang", "draw", "counts"])
 
-    rows = map_batches(t.where(draw < share), batch, "lang string, counts binary").toLocalIterator()
-    held: dict[str, list[np.ndarray]] = {}
+    rows = map_batches(t.where(F.col("draw") / float(1 << 40) < share), batch, "lang string, draw long, counts binary").toLocalIterator()
+    sampled: dict[str, dict[int, np.ndarray]] = {}
     for r in rows:
-        own = held.setdefault(r["lang"], [])
-        if len(own) < 2 * per_language:  # copies share a hash, so a draw can exceed its share
-            own.append(unit(np.frombuffer(bytes(r["counts"]), np.uint16)[None, :].astype(np.float32), idf)[0])
+        own = sampled.setdefault(r["lang"], {})
+        if r["draw"] not in own and (len(own) < per_language or r["draw"] < max(own)):
+            own[r["draw"]] = unit(np.frombuffer(bytes(r["counts"]), np.uint16)[None, :].astype(np.float32), idf)[0]
+            if len(own) > per_language:
+                del own[max(own)]
+    held = {lang: [own[d] for d in sorted(own)] for lang, own in sampled.items()}
     names = sorted(held)
     if not names:
         return None
@@ -167,7 +179,7 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
         texts = b.column(1).to_pylist()
         names, scores, far = ["und"] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
         if m is not None:
-            lettered = np.array([bool(t and _LETTER.search(t)) for t in texts])
+            lettered = np.array([has_letter(t) for t in texts], bool)
             for first, end, counts in _chunked(b.column(1), len(m.idf)):
                 pick, score, rejected = m.predict(counts)
                 for i in np.flatnonzero(lettered[first:end]):

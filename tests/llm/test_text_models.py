@@ -1,4 +1,5 @@
 import itertools
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -29,6 +30,60 @@ def test_ids_are_those_of_tokenizers():
                 assert ids[bounds[i] : bounds[i + 1]].tolist() == t.encode(texts[first + i], add_special_tokens=False).ids, texts[first + i]
 
 
+def test_long_texts_are_tokenised_in_parts():
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(PATH)
+    encoder = packing.Encoder(PATH, most_pieces=100, most_ids=300)
+    rng = np.random.default_rng(8)
+    words = ["a", "été", "\n", "\n\n", " ", "x\u3000y", "日本語", "12", "'s", "word", "ﬁ", "\x85", "😀", "."]
+    for join in ("", " "):
+        text = join.join(rng.choice(words, 3000))
+        raw = np.frombuffer(text.encode(), np.uint8)
+        for most in (20, 500, 10**6):
+            parts = list(packing.parts_of(raw, most))
+            assert np.array_equal(np.concatenate(parts), raw) and (most < 1000) == (len(parts) > 1)
+            got = np.concatenate([encoder.encode(p, np.array([0, len(p)]))[0] for p in parts])
+            assert got.tolist() == t.encode(text, add_special_tokens=False).ids
+
+
+def test_packing_query_against_tokenizers(spark):
+    """Every row of op4 over its whole table: ids, counts, offsets and sizes from ``tokenizers`` alone."""
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(PATH)
+    t.encode_special_tokens = True
+    want = {r["doc_id"]: np.array([*t.encode(r["text"] or "", add_special_tokens=False).ids, 1], "<u4") for r in queries.table(spark, DATA, "documents").collect()}
+    pieces, used = {}, {}
+    for r in queries.op4_packing(spark, DATA).collect():
+        ids = want[r["doc_id"]]
+        assert r["doc_tokens"] == len(ids)
+        assert r["ids_crc32"] == zlib.crc32(ids[r["start"] : r["start"] + r["length"]].tobytes())
+        pieces.setdefault(r["doc_id"], []).append((r["start"], r["length"]))
+        used.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for i, ids in want.items():
+        assert _gapless(pieces[i]) == len(ids)
+    sizes = [_gapless(x) for x in used.values()]
+    assert max(sizes) <= 2048 and sum(sizes) / (2048 * len(sizes)) > 0.9
+
+
+def _gapless(spans):
+    at = 0
+    for start, length in sorted(spans):
+        assert start == at
+        at += length
+    return at
+
+
+def test_many_tiny_items_are_packed_in_bounded_blocks():
+    packer = packing.Packer(2048, 512, 128, 1 << 10, 0)
+    one = np.array([1], np.uint32)
+    rows = [r for i in range(5000) for r in packer.add(i, one)]
+    assert len(packer.items) < 1 << 10
+    rows += packer.flush()
+    assert sorted(r[0] for r in rows) == list(range(5000))
+
+
 def test_differencing_is_near_equal_and_whole():
     rng = np.random.default_rng(1)
     sizes = rng.integers(1, 513, 600)
@@ -68,6 +123,60 @@ def test_language_on_held_out_rows(spark):
     assert np.mean([r["lang"] == r["lang_pred"] for r in got]) >= 0.95
 
 
+def test_language_features_and_verdicts_against_plain_loops(spark):
+    """Trigrams, weights and the nearest centroid, by dictionaries and lists."""
+    import math
+
+    texts = ["Hello, World 12", "été à Paris", "", "a", "日本語のテキスト", "xYz"]
+    dims = 512
+    (_, _, counts), *_ = language_id._chunked(pa.array(texts), dims)
+
+    def grams(t):
+        raw = [b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 0 for b in t.encode()]
+        out = {}
+        for a, b, c in zip(raw, raw[1:], raw[2:], strict=False):
+            if b or a and c:
+                k = ((a << 16 | b << 8 | c) * 2654435761 & 0xFFFFFFFF) >> (32 - 9)
+                out[k] = out.get(k, 0) + 1
+        return out
+
+    for row, t in zip(counts, texts, strict=True):
+        assert {int(k): int(row[k]) for k in np.flatnonzero(row)} == grams(t)
+    docs = queries.table(spark, DATA, "documents")
+    model = language_id.fit(docs.where(~queries.held_out()), per_language=100)
+    rows = docs.where("text is not null").limit(60).collect()
+    got = {r["doc_id"]: r for r in language_id.identify(docs, model).collect()}
+    dims = len(model.idf)
+    for r in rows:
+        x = {}
+        raw = [b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 0 for b in r["text"].encode()]
+        for a, b, c in zip(raw, raw[1:], raw[2:], strict=False):
+            if b or a and c:
+                k = ((a << 16 | b << 8 | c) * 2654435761 & 0xFFFFFFFF) >> (32 - dims.bit_length() + 1)
+                x[k] = x.get(k, 0) + 1
+        x = {k: math.log1p(n) * float(model.idf[k]) for k, n in x.items()}
+        norm = math.sqrt(sum(v * v for v in x.values())) or 1
+        cosine = [sum(v / norm * float(centre[k]) for k, v in x.items()) for centre in model.centres]
+        best = {}
+        for c, owner in zip(cosine, model.owners, strict=True):
+            best[model.names[owner]] = max(best.get(model.names[owner], -1), c)
+        if not any(ch.isalpha() for ch in r["text"]):
+            assert got[r["doc_id"]]["lang_pred"] == "und"
+        else:
+            assert best[got[r["doc_id"]]["lang_pred"]] == pytest.approx(max(best.values()), abs=1e-5)
+
+
+def test_letters_are_alphabetic():
+    assert [language_id.has_letter(t) for t in (None, "", "½ ² 12_3", "½a", "é", "日", "①", "ª")] == [False, False, False, True, True, True, False, True]
+
+
+def test_the_language_sample_counts_copies_once(spark):
+    rows = [("the same words again and again", "en")] * 500 + [(f"other words number {i} stand here", "en") for i in range(40)] + [(f"autres mots {i} ici", "fr") for i in range(40)]
+    d = spark.createDataFrame(rows, "text string, lang string").repartition(5)
+    a, b = (language_id.fit(x, per_language=30) for x in (d, d.repartition(2)))
+    assert np.allclose(a.centres, b.centres) and a.names == b.names == ["en", "fr"]
+
+
 def test_language_edges(spark, edge, nothing):
     assert {r["lang_pred"] for r in language_id.identify(edge, None).collect()} == {"und"}
     assert language_id.fit(nothing) is None
