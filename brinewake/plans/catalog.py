@@ -688,11 +688,15 @@ def wav_clip(spark, sf_dir):
     return d.select("vec_id", F.col("whole.duration_sec").alias("duration_sec"), F.col("whole.sample_rate").alias("sample_rate"), F.col("part.duration_sec").alias("clip_sec"))
 
 
-@query(f"WITH {AIS_SQL} SELECT '{{\"type\":\"Feature\",\"geometry\":{{\"type\":\"Point\",\"coordinates\":[' || round(k / 500.0 * 1000)::INTEGER || ',' || event_id || ']}},\"properties\":{{\"mmsi\":' || mmsi || '}}}}' AS feature FROM ais")
+_FEATURE = "'{\"type\":\"Feature\",\"geometry\":{\"type\":\"Point\",\"coordinates\":['"
+
+
+@query(f"""WITH {AIS_SQL} SELECT {_FEATURE} || round(k / 500.0 * 1000)::INTEGER || ',' || event_id || ']}},"properties":{{"mmsi":' || mmsi || '}}}}' AS feature FROM ais
+UNION ALL SELECT {_FEATURE} || sx || ',' || sy || ']}},"properties":{{"station":"' || station || '","radius":' || r || '}}}}' FROM (VALUES ('west', -123, 49), ('east', -122, 50)) s(station, sx, sy), (SELECT unnest({list(labels.RADII)}) AS r)""")
 def map_points(spark, sf_dir):
     d = views.ais(spark, sf_dir).select("mmsi", F.round(F.col("k") / 500.0 * 1000).cast("int").cast("long").alias("x"), F.col("event_id").alias("y"))
-    none = spark.range(0).select(F.lit("").alias("station"), F.lit(0).cast("long").alias("sx"), F.lit(0).cast("long").alias("sy"))
-    return report.map_features(d, none, labels.RADII)
+    rows = F.array(*[F.struct(F.lit(n).alias("station"), F.lit(x).cast("long").alias("sx"), F.lit(y).cast("long").alias("sy")) for n, x, y in (("west", -123, 49), ("east", -122, 50))])
+    return report.map_features(d, spark.range(1).select(F.inline(rows)), labels.RADII)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

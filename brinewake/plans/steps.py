@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..functions import geo, times
 from ..functions.labels import CLASSES, RADII
 from ..operators import cleaning, clips, interpolate, metadata, sampling, scenario
@@ -144,7 +145,7 @@ def describe(found: DataFrame, combined: DataFrame, readings: DataFrame, o: Opti
 
 def report_table(meta: DataFrame) -> DataFrame:
     """The 17 columns of the metadata file; ``path`` is the clip's own file."""
-    return meta.select("label", "duration_sec", F.col("clip").alias("path"), "sample_rate", "class_code", "date", "MMSI", *READINGS, *[f"{c}_norm" for c in READINGS])
+    return meta.withColumn("path", F.col("clip")).select(*[c.split(" ")[0] for c in schemas.METADATA.split(", ")])
 
 
 def ordered(meta: DataFrame) -> DataFrame:

@@ -18,6 +18,8 @@ METADATA = (
     "label string, duration_sec double, path string, sample_rate int, class_code int, date timestamp_ntz, MMSI long, "
     "t1 double, c1 double, p1 double, sal double, sv double, t1_norm double, c1_norm double, p1_norm double, sal_norm double, sv_norm double"
 )
+#: The CSV forms by name.
+FORMS = {"deployments": DEPLOYMENT, "water": WATER, "intervals": SCENARIO, "clips": CLIP, "clip_details": CLIP_DETAIL, "segments": SEGMENT, "metadata": METADATA}
 
 
 def without_nan(df: DataFrame) -> DataFrame:

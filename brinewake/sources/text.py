@@ -51,6 +51,11 @@ def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
     return schemas.without_nan(spark.read.schema(schema).csv(path, header=True))
 
 
+def read_table(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """A CSV of one of the data sets' own forms: ``schemas.FORMS`` has their names and columns."""
+    return read_csv(spark, path, schemas.FORMS[kind])
+
+
 def read_arrow(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Legacy Arrow IPC (Feather) files, whole files as binary, decoded on the executors."""
     import pyarrow as pa

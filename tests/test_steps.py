@@ -3,7 +3,7 @@ from test_operators import fields, sentence
 
 from brinewake import __main__ as command
 from brinewake.plans import steps
-from brinewake.sources import audio
+from brinewake.sources import audio, text
 
 
 @pytest.fixture(scope="module")
@@ -51,7 +51,8 @@ def test_from_raw_files_to_balanced_metadata(spark, raw, tmp_path):
     assert {r["MMSI"] for r in meta if r["label"] == "tug"} == {316001234}
     assert all(0 <= r["t1_norm"] <= 1 and r["c1_norm"] is None for r in meta if r["t1"] is not None)
     assert {r["sample_rate"] for r in meta} == {10} and all(0 < r["duration_sec"] <= 300 for r in meta)
-    table = spark.read.csv(paths["metadata_csv"], header=True)
+    table = text.read_table(spark, paths["metadata_csv"], "metadata")
+    assert {(r["label"], r["MMSI"]) for r in table.collect()} == {(r["label"], r["MMSI"]) for r in meta}
     assert table.columns == ["label", "duration_sec", "path", "sample_rate", "class_code", "date", "MMSI", "t1", "c1", "p1", "sal", "sv", "t1_norm", "c1_norm", "p1_norm", "sal_norm", "sv_norm"]
     assert table.count() == len(meta)
     # every clip is a file of its length
