@@ -47,15 +47,25 @@ def scratch_root(spark: SparkSession) -> str:
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder and cut its lineage there.
 
-    The rows survive the loss of any executor.  The table is written compressed; its folder is
-    removed when the application's checkpoint folder is.
+    The rows survive the loss of any executor.  An application's tables stand in one folder, which the
+    driver deletes when it ends.
     """
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/tables/{uuid.uuid4().hex}"
+    folder = f"{scratch_root(spark)}/tables/{spark.sparkContext.applicationId}"
+    if folder not in _doomed:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _doomed.add(folder)
+    path = f"{folder}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_doomed: set[str] = set()
+
+
 def attach(rows: DataFrame, one: DataFrame, key: str, value: str, spread: str, n: str = "n", most: int = 1000) -> DataFrame:
     """``rows`` with column ``value`` of ``one`` by ``key``; NULL where there is none.
 
@@ -78,25 +88,29 @@ def attach(rows: DataFrame, one: DataFrame, key: str, value: str, spread: str, n
     return d.withColumn(value, F.coalesce(F.col("_found.v"), F.col("_one.v"))).drop("_key", "_none", "_one", "_found", "_salt", "_by")
 
 
-def components(edges: DataFrame, src: str = "a", dst: str = "b", most_rounds: int = 60) -> DataFrame:
+def _with_least(d: DataFrame, hot: bool) -> DataFrame:
+    """Adds m, the least v of each u; where there are many rows, a u of very many is not one task."""
+    least = d.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    return attach(d, cut(least), "u", "m", "v") if hot else d.join(least.drop("n"), "u")
+
+
+def components(edges: DataFrame, src: str = "a", dst: str = "b", most_rounds: int = 60, many: int = 1_000_000) -> DataFrame:
     """Connected components of an undirected edge table: (node, component), component = least node.
 
     Alternating large-star and small-star rounds; every round is a few shuffles of the edge
-    table, written to the shared folder, and the driver sees one count a round.  Nodes without
-    an edge are not returned.
+    table, written to the shared folder, and the driver sees one count a round.  From ``many`` edges on
+    hot nodes, such as a star's centre, are joined by broadcast.  Nodes without an edge are not returned.
     """
     pairs = edges.select(F.greatest(src, dst).alias("u"), F.least(src, dst).alias("v")).where("u <> v").distinct()
     pairs = cut(pairs)
     for _ in range(most_rounds):
-        before = pairs
+        before, hot = pairs, pairs.count() >= many
         # large star: each node's larger neighbours point to the least of the neighbourhood
         both = before.select("u", "v").unionByName(before.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = _with_least(both, hot).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).where("u <> v").distinct()
         # small star: each node's smaller neighbours, and itself, point to the least of them
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
-        pairs = cut(small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
+        small = _with_least(cut(large) if hot else large, hot)
+        pairs = cut(small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
         # done when every edge is a star's: no centre is itself a leaf
         if pairs.select("v").distinct().join(pairs.select(F.col("u").alias("v")).distinct(), "v", "left_semi").isEmpty() and not _two_centres(pairs):
             return pairs.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node").unionByName(pairs.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

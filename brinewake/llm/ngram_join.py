@@ -15,13 +15,17 @@ Equal sets are one node.  Signatures travel in binary blocks, 7 bytes each.  Set
 in common form a bucket; each bucket's first document is compared with the others (pairs grow with
 the rows, not their square).  Buckets that then still hold several components are searched for pairs
 between components; a parity sketch, whose distance never exceeds that of the sets, rules out nearly
-all of them without texts.  A large such bucket is searched as pairs of bounded blocks of its
-members, so that no task holds it whole.  Every candidate is verified on the whole sets; links
+all of them without texts.  Where many are left for each member, only the pairs of a few spanning
+forests of the bucket's components are verified in a round, so they too grow with the rows; such buckets
+are searched again with the components that then are left, and after ``rounds`` rounds all remaining
+pairs are verified.  A large bucket is searched as pairs of bounded blocks of its members, so that no task
+holds it whole.  Every candidate is verified on the whole sets; links
 become components by large-star/small-star rounds.
 
 Defined results: a null or empty text has no shingles, is linked with nothing and is its own
 component; a text of one to four words has its whole sequence as its only shingle; rows that share an
-id are one document; a null id has a null component; other columns are ignored.
+id are one document, whose text is, of those with words, the one of least hash, while ``n_shingles`` is
+each row's own; a null id has a null component; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import vectext
-from .common import components, cut, map_batches
+from .common import attach, components, cut, map_batches
 
 _BIT = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).sum(1).astype(np.uint16)
 
@@ -115,7 +119,7 @@ def signatures(values: np.ndarray, bands: Bands) -> np.ndarray:
 
 
 def set_table(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(doc, n, key: digest of the set, null if empty; sketches for two bands)."""
+    """(doc, hash of the text, n, key: digest of the set, null if empty; sketches for two bands)."""
     bands = Bands(percent)
 
     def batch(b: pa.RecordBatch):
@@ -124,11 +128,11 @@ def set_table(docs: DataFrame, words: int, percent: int) -> DataFrame:
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             sketches = [sketch(s, bands) if len(s) else (None, None) for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0)[first:end], pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array([bands.of(len(s)) for s in sets], pa.int32()), *(pa.array([x[i] for x in sketches], pa.binary()) for i in (0, 1))],
-                ["doc", "n", "key", "band", "own", "next"],
+                [b.column(0)[first:end], b.column(2)[first:end], pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array([bands.of(len(s)) for s in sets], pa.int32()), *(pa.array([x[i] for x in sketches], pa.binary()) for i in (0, 1))],
+                ["doc", "hash", "n", "key", "band", "own", "next"],
             )
 
-    return map_batches(docs, batch, "doc long, n long, key binary, band int, own binary, next binary")
+    return map_batches(docs.withColumn("hash", F.xxhash64("text")), batch, "doc long, hash long, n long, key binary, band int, own binary, next binary")
 
 
 def signature_blocks(docs: DataFrame, parts: int, words: int, percent: int) -> DataFrame:
@@ -255,7 +259,8 @@ def near_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs whose whole sets are similar."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
-    texts = docs.join(ids, "doc", "left_semi").dropDuplicates(["doc"])
+    worded = docs.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    texts = worded.join(ids, "doc", "left_semi").dropDuplicates(["doc"])
 
     def batch(b: pa.RecordBatch):
         known: dict[int, np.ndarray] = {}
@@ -279,16 +284,50 @@ def _column_sets(column: pa.Array, words: int) -> list[np.ndarray]:
     return [s for _, _, data, offsets in vectext.chunks(column) for s in sets_of(data, offsets, words)]
 
 
-def cross_pairs(members: DataFrame, percent: int, parts: int) -> DataFrame:
-    """Pairs of different components in a bucket that sketches don't rule out.
-
+def _forests(u: np.ndarray, v: np.ndarray, order: np.ndarray, most: int) -> tuple[list[int], bool]:
+    """Of edges (u, v), taken in ``order``: those of ``most`` forests, each of what the ones before left
+    over, and whether any edge is left."""
+    chosen, rest = [], order.tolist()
+    nodes = len(np.unique(np.concatenate([u, v])))
+    u, v = u.tolist(), v.tolist()
+    for _ in range(most):
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (p := parent.get(x, x)) != x:
+                parent[x] = x = parent.get(p, p)
+            return x
+
+        left, joined = [], 0
+        for at, e in enumerate(rest):
+            x, y = root(u[e]), root(v[e])
+            if x == y:
+                left.append(e)
+                continue
+            parent[x] = y
+            chosen.append(e)
+            joined += 1
+            if joined == nodes - 1:
+                left += rest[at + 1 :]
+                break
+        rest = left
+    return chosen, bool(rest)
+
+
+def cross_pairs(members: DataFrame, percent: int, parts: int, forests: int = 0, turn: int = 0, dense: int = 8) -> DataFrame:
+    """(a, b) pairs of different components in a bucket that sketches don't rule out.
+
+    With ``forests``, of a bucket that has over ``dense`` such pairs a member only those of as many
+    spanning forests of its components are returned, so they grow with its members, not their square;
+    the bucket is then named in a row (again) of its own.  The first ``turn`` takes the nearest pairs
+    first, others any.
     ``members``: (bucket, block, doc, component, n, band, own, next).
     """
 
     def run(batches):
         told: set[tuple[int, int]] = set()  # similar sets meet in many buckets
-        for _, (_, doc, comp, n, band, own, after) in _groups(batches, range(7)):
-            found = set()
+        for key, (_, doc, comp, n, band, own, after) in _groups(batches, range(7)):
+            edges = []
             doc, comp, n, band = np.array(doc, np.int64), np.array(comp, np.int64), np.array(n), np.array(band)
             for p in np.unique(band):
                 # sets of band p with those of p, by p's sketches; with those of p + 1, by p + 1's
@@ -306,18 +345,38 @@ def cross_pairs(members: DataFrame, percent: int, parts: int) -> DataFrame:
                         if not len(at):
                             continue
                         apart = _BIT[a[r] ^ b[at]].sum(1, dtype=np.int64)
-                        at = at[apart * (100 + percent) <= (n[j[at]] + n[k]) * (100 - percent)]
-                        found |= {(int(min(doc[k], x)), int(max(doc[k], x))) for x in doc[j[at]]}
-            found -= told
+                        near = apart * (100 + percent) <= (n[j[at]] + n[k]) * (100 - percent)
+                        if near.any():
+                            at = j[at[near]]
+                            edges.append((np.full(len(at), k, np.int32), at.astype(np.int32), (apart[near] / (n[at] + n[k])).astype(np.float32)))
+            if not edges:
+                continue
+            i, j, score = (np.concatenate(x) for x in zip(*edges, strict=True))
+            more = False
+            if forests and len(i) > dense * len(doc):
+                order = score if not turn else vectext.mix((doc[i] * 31 + doc[j]).view(np.uint64) + np.uint64(turn))
+                chosen, more = _forests(comp[i], comp[j], np.argsort(order, kind="stable"), forests)
+                i, j = i[chosen], j[chosen]
+            found = set(zip(np.minimum(doc[i], doc[j]).tolist(), np.maximum(doc[i], doc[j]).tolist(), strict=True)) - told
             if len(told) > 1_000_000:
                 told.clear()
             told |= found
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*sorted(found), strict=True)], ["a", "b"])
+            rows = [(*x, None) for x in sorted(found)] + [(None, None, key["bucket"])] * more
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], ["a", "b", "again"])
 
     key = F.struct("bucket", "block").alias("key")
     dealt = members.select(key, "doc", "component", *_SIDE).repartition(parts, "key").sortWithinPartitions("key")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(run, "a long, b long, again long").distinct()
+
+
+def _blocks(mixed: DataFrame, named: DataFrame, large_bucket: int) -> DataFrame:
+    """Members of mixed buckets; a bucket of several blocks is searched as pairs of blocks (i, j)."""
+    blocks = F.ceil(F.col("size") / large_bucket).cast("int")
+    own = F.pmod(F.xxhash64("doc"), blocks).cast("int")
+    spread = mixed.withColumns({"blocks": blocks, "i": own}).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    spread = spread.select("bucket", F.concat_ws(":", F.least("i", "j"), F.greatest("i", "j")).alias("block"), "doc", "component")
+    return spread.join(named.select("doc", *_SIDE), "doc")
 
 
 def _mixed(rows: DataFrame, links: DataFrame) -> DataFrame:
@@ -328,36 +387,49 @@ def _mixed(rows: DataFrame, links: DataFrame) -> DataFrame:
     return rows.join(mixed, "bucket")
 
 
-def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, per_part: int = 1_000_000, large_bucket: int = 2000) -> DataFrame:
+def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, per_part: int = 1_000_000, large_bucket: int = 2000, forests: int = 3, rounds: int = 6) -> DataFrame:
     """(id, n_shingles, component_id) for every row of ``docs``.
 
-    ``per_part``: signatures that one task sorts; ``large_bucket``: members that one task holds.
+    ``per_part``: signatures that one task sorts; ``large_bucket``: members that one task holds;
+    ``forests``, ``rounds``: how the search between components goes (see ``cross_pairs``).
     """
     spark = docs.sparkSession
     d = docs.select(F.col(id_col).cast("long").alias("doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     sets = cut(set_table(d, words, percent))
     known = d.where(F.col("doc").isNotNull())
+    worded = sets.where(F.col("doc").isNotNull() & F.col("key").isNotNull())
+    clash = worded.groupBy("doc").agg(F.min("hash").alias("chosen"), F.max("hash").alias("other"), F.count("*").alias("rows")).where("chosen <> other")
+    clash = cut(clash.drop("other"))
+    if not clash.isEmpty():  # ids of several texts: only one of them takes part
+        known = attach(known.withColumn("hash", F.xxhash64("text")), clash, "doc", "chosen", "hash", "rows").where("chosen is null or chosen = hash").select("doc", "text")
+        worded = attach(worded, clash, "doc", "chosen", "hash", "rows").where("chosen is null or chosen = hash").drop("chosen")
     total = sets.agg(F.sum("n")).first()[0] or 0
     parts = max(1, -(-int(total * 0.7) // per_part), min(int(spark.conf.get("spark.sql.shuffle.partitions")), total // 50_000))
     rows = cut(buckets(signature_blocks(known, parts, words, percent), parts))
-    named = sets.where(F.col("doc").isNotNull() & F.col("key").isNotNull()).dropDuplicates(["doc"])
+    named = worded.dropDuplicates(["doc"])
     links = cut(verified(near_pairs(rows.where("leader <> doc").select(F.col("leader").alias("a"), F.col("doc").alias("b")).distinct(), named, percent), known, words, percent))
-    mixed = cut(_mixed(rows.drop("leader"), links))
-    # a bucket of several blocks is searched as pairs of blocks (i, j)
-    blocks = F.ceil(F.col("size") / large_bucket).cast("int")
-    own = F.pmod(F.xxhash64("doc"), blocks).cast("int")
-    spread = mixed.withColumns({"blocks": blocks, "i": own}).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    spread = spread.select("bucket", F.concat_ws(":", F.least("i", "j"), F.greatest("i", "j")).alias("block"), "doc", "component")
-    more = verified(cut(cross_pairs(spread.join(named.select("doc", *_SIDE), "doc"), percent, parts)), known, words, percent)
-    links = cut(links.unionByName(more))
+    members = rows.drop("leader")
+    for turn in range(rounds + 1):
+        # in the last turn all pairs that are left, whatever their number
+        search = forests if turn < rounds else 0
+        found = cut(cross_pairs(_blocks(cut(_mixed(members, links)), named, large_bucket), percent, parts, search, turn))
+        more = cut(verified(found.where("a is not null").select("a", "b"), known, words, percent))
+        again = found.where("again is not null").select(F.col("again").alias("bucket")).distinct()
+        if not search or again.isEmpty():
+            links = cut(links.unionByName(more))
+            break
+        members, links = cut(members.join(again, "bucket", "left_semi")), cut(links.unionByName(more))
     # copies: the least id of equal sets stands for all
-    first = sets.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc").alias("rep"))
-    stands = cut(sets.join(first, "key", "left").select("doc", "n", F.coalesce("rep", "doc").alias("rep")))
-    of = stands.select("doc", "rep").where("doc is not null").groupBy("doc").agg(F.min("rep").alias("rep"))
+    first = cut(named.groupBy("key").agg(F.min("doc").alias("rep"), F.count("*").alias("copies")))
+    ends = links.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
+    of = cut(attach(named.select("doc", "key").join(ends, "doc", "left_semi"), first, "key", "rep", "doc", "copies").select("doc", "rep"))
     edge = links.join(of.select(F.col("doc").alias("a"), F.col("rep").alias("u")), "a").join(of.select(F.col("doc").alias("b"), F.col("rep").alias("v")), "b").where("u <> v").select(F.col("u").alias("a"), F.col("v").alias("b"))
-    comps = components(edge)
-    out = stands.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
-    return out.select(F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("doc").isNotNull(), F.coalesce("component", "rep")).alias("component_id"))
+    comps = components(edge).withColumnRenamed("node", "rep")
+    classes = cut(first.join(comps, "rep", "left").select("key", "copies", F.coalesce("component", "rep").alias("component")))
+    found = attach(named.select("doc", "key"), classes, "key", "component", "doc", "copies").select("doc", "component")
+    whole = sets.where(F.col("doc").isNotNull()).select("doc", "n").join(found, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+    out = whole.unionByName(sets.where(F.col("doc").isNull()).select("doc", "n", F.col("doc").alias("component")))
+    return out.select(F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

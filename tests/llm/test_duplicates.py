@@ -4,11 +4,13 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from compare import DATA
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from brinewake.llm import decontam, line_dedup, ngram_join, queries, vectext
+from brinewake.llm.common import attach
 
 
 def lower(t):
@@ -96,6 +98,86 @@ def test_join_edges(edge):
     assert by == {1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 6: 5, None: None, 7: 7, 8: 8, 9: 9}
 
 
+def test_forests_span_and_name_what_is_left():
+    rng = np.random.default_rng(9)
+    for _ in range(50):
+        u, v = rng.integers(0, 12, (2, 40))
+        u, v = u[u != v], v[u != v]
+        for most in (1, 2, 50):
+            chosen, more = ngram_join._forests(u, v, np.arange(len(u)), most)
+            assert len(set(chosen)) == len(chosen) <= most * 11 and more == (len(chosen) < len(u))
+            of = lambda edges: _roots([(int(u[e]), int(v[e])) for e in edges])
+            assert of(chosen) == of(range(len(u)))
+
+
+def _roots(edges):
+    group = {x: {x} for e in edges for x in e}
+    for a, b in edges:
+        if group[a] is not group[b]:
+            group[a] |= group[b]
+            for x in group[b]:
+                group[x] = group[a]
+    return {x: min(g) for x, g in group.items()}
+
+
+@pytest.mark.parametrize("rounds", [0, 1, 6])
+def test_a_group_whose_members_mostly_miss_each_other(spark, rounds):
+    """Many near copies of one text, each pair near the threshold: the same classes as by all pairs,
+    however many rounds of forests go before the whole search."""
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(210)]
+    texts = []
+    for _ in range(90):
+        v = list(base)
+        for _ in range(rng.choice((2, 3))):
+            v[rng.randrange(210)] = f"new{rng.randrange(10**6)}"
+        texts.append(" ".join(v))
+    s = sets(list(enumerate(texts)))
+    near = [100 * (c := len(s[i] & s[j])) >= 80 * (len(s[i]) + len(s[j]) - c) for i in s for j in range(i)]
+    assert 0.05 < np.mean(near) < 0.95
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.similar_components(d, rounds=rounds, large_bucket=40).collect()}
+    assert got == closure(s)
+
+
+def test_join_of_nothing_and_of_clashing_ids(spark, nothing):
+    assert ngram_join.similar_components(nothing).count() == 0
+    one, two = ("a b c d e f g h i j k l m n o p q r s t", "z y x w v u t s r q p o n m l k j i h g")
+    rows = [(1, one), (2, two), (5, one), (5, two), (5, None), (7, one + " more"), (None, one), (None, None)]
+    got = {(r["doc_id"], r["n_shingles"], r["component_id"]) for _ in range(2) for r in ngram_join.similar_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    five = {c for i, _, c in got if i == 5}
+    assert five in ({1}, {2})  # of the two texts always the same one counts
+    assert {(i, c) for i, _, c in got if i in (1, 2)} == {(1, 1), (2, 2)}
+    assert {n for i, n, _ in got if i == 5} == {0, 16} and (None, 16, None) in got and (None, 0, None) in got
+
+
+def test_a_text_that_does_not_count_hides_no_link(spark):
+    """Of an id's two texts one is left out; the others that have it are still linked."""
+    one, two = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    rows = [(5, one), (5, two), (6, one), (7, two), (8, one + " end"), (9, two + " end")]
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.similar_components(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()}
+    assert got in ({5: 5, 6: 5, 8: 5, 7: 7, 9: 7}, {5: 5, 7: 5, 9: 5, 6: 6, 8: 6})
+
+
+def test_keep_first(spark, edge, nothing):
+    kept = ngram_join.keep_first(edge)
+    assert kept.columns == edge.columns
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(["1", "2", "3", "4", "5", "5", "7", "8", "9", "None", "None"])
+    assert ngram_join.keep_first(nothing).count() == 0
+
+
+def test_attach_with_hot_keys(spark):
+    """A key of a third of the rows, null keys, keys without a value; all ways give the plain join."""
+    keys = ["hot"] * 300 + [None] * 200 + [f"k{i % 60}" for i in range(400)]
+    rows = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "id long, k string")
+    one = spark.createDataFrame([(k, f"v{k}", keys.count(k)) for k in {*keys} - {None, "k7"}], "k string, v string, n long")
+    want = {i: None if k in (None, "k7") else f"v{k}" for i, k in enumerate(keys)}
+    for most in (1000, 10, 3):
+        got = attach(rows, one, "k", "v", "id", most=most)
+        assert got.columns == ["id", "k", "v"]
+        assert {r["id"]: r["v"] for r in got.collect()} == want and got.count() == len(keys)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(0, 6), max_size=14), st.lists(st.integers(0, 6), max_size=14))
 def test_patience_is_a_common_subsequence(a, b):
@@ -147,6 +229,14 @@ def test_every_block_of_any_earlier_document_goes(spark):
     assert any(len(want[i]) < len(texts[i]) for i in want)
 
 
+def test_a_column_of_the_counts_name_passes_through(spark):
+    text = "the very same line of eight words or more"
+    d = spark.createDataFrame([(1, text, "own"), (2, text, "own")], "doc_id long, text string, lines_deleted string")
+    out = line_dedup.dedup_lines(d)
+    assert out.columns == ["doc_id", "text", "lines_deleted", "lines_deleted_"]
+    assert sorted(tuple(r) for r in out.collect()) == [(1, text, "own", 0), (2, "", "own", 1)]
+
+
 def test_dedup_edges(edge, nothing):
     out = line_dedup.dedup_lines(edge)
     assert out.columns == [*edge.columns, "lines_deleted"]
@@ -181,8 +271,8 @@ def test_edited_passages_and_blocks_of_items(spark):
     docs = [(0, noise() + " " + items[0].upper() + ", " + noise()), (1, " ".join(edited) + " " + noise()), (2, noise()), (3, items[3]), (4, noise() + " " + items[3]), (5, None), (6, "")]
     d = spark.createDataFrame(docs, "doc_id long, text string")
     b = spark.createDataFrame([*enumerate(items), (9, None), (10, "")], "item_id long, text string")
-    for block in (1, 100):
-        assert sorted((r["doc_id"], r["item_id"]) for r in decontam.contaminations(d, b, block=block).collect()) == [(0, 0), (1, 1), (3, 3)]
+    for block, blocks in ((1, 1), (1, 3), (100, 4)):
+        assert sorted((r["doc_id"], r["item_id"]) for r in decontam.contaminations(d, b, block=block, blocks=blocks).collect()) == [(0, 0), (1, 1), (3, 3)]
     assert sorted(r["doc_id"] for r in decontam.decontaminate(d, b).collect()) == [2, 4, 5, 6]
 
 
@@ -200,7 +290,7 @@ def test_blocks_find_all_fingerprints_within_the_radius():
     rng = np.random.default_rng(4)
     texts = [" ".join(f"x{v}" for v in rng.integers(0, 10**6, 20)) for _ in range(50)]
     index = decontam.Index(list(range(50)), texts, 5, 20, 0.8)
-    own, prints, _ = index.prints[20]
+    own, prints, *_ = index.prints[20]
     for _ in range(200):
         p = int(prints[rng.integers(0, 50)])
         for bit in rng.choice(64, int(rng.integers(0, 30)), replace=False):

@@ -111,9 +111,10 @@ def test_packing_edges(spark, edge, nothing):
     assert packing.pack(nothing, PATH).count() == 0
 
 
-def test_components(spark):
+@pytest.mark.parametrize("many", [1, 10**6])
+def test_components(spark, many):
     edges = [(1, 2), (2, 3), (3, 4), (9, 8), (8, 7), (7, 9), (20, 30), (30, 40), (40, 50), (50, 60), (60, 70), (5, 5)]
-    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long"), many=many).collect()}
     assert got == {**dict.fromkeys((1, 2, 3, 4), 1), **dict.fromkeys((7, 8, 9), 7), **dict.fromkeys(range(20, 71, 10), 20)}
 
 
