@@ -1,9 +1,12 @@
+import itertools
+import math
 import random
 import re
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from brinewake.llm import quality_rules as q
 
@@ -84,6 +87,70 @@ def test_estimate_resists_a_third_of_outliers(spark):
     assert np.abs(np.array([e["0"][f"m{i}"] for i in range(q.P)]) - x[200:].mean(0)).max() < 0.25
 
 
+def exact_mcd(x, coverage=0.75):
+    """Mean and floored covariance of the h documents of least determinant, by trying all subsets."""
+    n, floors = len(x), np.diag(np.square(q.FLOORS))
+    scale = coverage / q.chi_square_cdf(q.chi_square_quantile(coverage, q.P), q.P + 2)
+    best = min((x[list(s)] for s in itertools.combinations(range(n), math.ceil(n * coverage))), key=lambda y: np.linalg.det(np.cov(y.T, bias=True) * scale + floors))
+    return best.mean(0), np.cov(best.T, bias=True) * scale + floors
+
+
+def exact_verdicts(groups, prior, cutoff):
+    """Which rows are near their group's estimate, drawn towards lang and table, by the plain formulas."""
+    every = np.concatenate([x for x in groups.values()])
+    mean, cov = exact_mcd(every)
+    cov = cov * (1 + prior / len(every))
+    out = {}
+    for lang in sorted({lang for lang, _ in groups}):
+        own = np.concatenate([x for (k, _), x in groups.items() if k == lang])
+        for name, x in groups.items():
+            if name[0] == lang:
+                m, c = mean, cov
+                for y in (own, x):
+                    w, (a, b) = len(y) / (len(y) + prior), exact_mcd(y)
+                    c = w * b + (1 - w) * c + w * (1 - w) * np.outer(a - m, a - m)
+                    m = m + w * (a - m)
+                out[name] = np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(c), x - m) <= cutoff
+    return out
+
+
+@pytest.mark.parametrize("prior", [2.0, 50.0])
+def test_verdicts_against_all_subsets(spark, prior):
+    """Small groups, each with planted outliers, against the determinant of every h-subset."""
+    rng = np.random.default_rng(11)
+    groups = {(lang, source): rng.normal(3 * j, 0.3, (9, q.P)) for j, (lang, source) in enumerate([("en", "a"), ("en", "b")])}
+    for x in groups.values():
+        x[:2] += rng.choice([-1, 1], (2, q.P)) * 60
+    rows = [(k, s, i, *map(float, r)) for (k, s), x in groups.items() for i, r in enumerate(x)]
+    d = spark.createDataFrame(rows, "_lang string, _source string, i int, " + ", ".join(f"x{i} double" for i in range(q.P))).withColumn("base_failed", F.lit(False))
+    cutoff = q.chi_square_quantile(1 - q.TAIL, q.P)
+    got = {(r["_lang"], r["_source"], r["i"]): r["kept"] for r in q._verdicts(d, q.fit(d), prior, cutoff).collect()}
+    want = {(k, s, i): bool(v) for (k, s), x in exact_verdicts(groups, prior, cutoff).items() for i, v in enumerate(x)}
+    assert got == want
+    assert not any(got[k, s, i] for k, s in groups for i in (0, 1))
+
+
+def test_a_small_group_passes_into_its_parent(spark):
+    """The estimate of a group moves with its size from its lang's to its own, without a jump."""
+    rng = np.random.default_rng(4)
+    means = []
+    for n in (2, 50, 1250):
+        x = np.concatenate([rng.normal(0, 0.5, (3000, q.P)), rng.normal(4, 0.5, (n, q.P))])
+        rows = [("en", "big" if i < 3000 else "small", *map(float, r)) for i, r in enumerate(x)]
+        d = spark.createDataFrame(rows, "_lang string, _source string, " + ", ".join(f"x{i} double" for i in range(q.P)))
+        e = {r["_group"]: r["_estimate"]["m0"] for r in q.shrunk(q.fit(d), 50.0).collect()}
+        means.append(e["en\x01small"])
+    assert means == sorted(means) and means[0] < 0.5 and means[1] == pytest.approx(2, abs=0.5) and means[-1] > 3.5
+
+
+def test_many_groups_and_a_hot_one(spark, monkeypatch):
+    """Beyond the bound, hot groups are broadcast and the others joined by key: the same verdicts."""
+    d = sample(spark, 300).withColumn("source", F.when(F.col("doc_id") % 2 == 0, "hot").otherwise(F.concat(F.lit("s"), (F.col("doc_id") % 30).cast("string"))))
+    want = {r["doc_id"]: (r["kept"], round(r["distance"], 6)) for r in q.quality_report(d).collect()}
+    monkeypatch.setattr(q, "MOST_GROUPS", 5)
+    assert {r["doc_id"]: (r["kept"], round(r["distance"], 6)) for r in q.quality_report(d).collect()} == want
+
+
 def test_native_plan(spark):
     plan = q.quality_report(sample(spark, 60))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
