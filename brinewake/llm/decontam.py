@@ -10,8 +10,8 @@ whose shingles the whole text has enough weight is a candidate in its windows wh
 fingerprints say, so the radius loses no item.  Candidates are verified on whole shingle multisets: the weight of the item's shingles found in the window, over the
 weight of all the item's shingles (rarer among the items: heavier), must reach ``similarity``.
 
-Items are read in blocks of bounded size; each block is matched with all rows, so neither the number
-of items nor of documents is limited.
+Items are read in blocks of bounded size, and several blocks are matched with all rows in one scan, so
+neither the number of items nor of documents is limited.  Rarity is counted among the items of a block.
 
 Defined results: null and empty texts match nothing; an item of fewer than five words matches a text
 that is exactly its words; an empty or null item matches nothing; repeated rows match each; of an
@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from . import vectext
 
 _BIT = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).sum(1)
+#: For every number of bits, and every block value, the values within as many bits.
+_NEAR = [[np.flatnonzero(_BIT[value ^ np.arange(256)] <= bits).tolist() for value in range(256)] for bits in range(9)]
 COLUMNS = "item_id long, similarity double, first_word long, n_words long, start long, end long"
 
 
@@ -49,40 +51,47 @@ class Index:
         hashes = vectext.span_hashes(data[offsets[0] : offsets[-1]], starts, ends)
         runs, ranges = vectext.shingles(hashes, bounds, words)
         self.length = np.diff(bounds)
-        owner = np.repeat(np.arange(len(ids)), np.diff(ranges))
-        place = np.arange(len(runs)) - ranges[owner]
+        owner = np.repeat(np.arange(len(ids), dtype=np.int32), np.diff(ranges))
+        place = (np.arange(len(runs)) - ranges[owner]).astype(np.int32)
         order = np.lexsort((place, owner, runs))
         self.keys, self.owner, self.place = runs[order], owner[order], place[order]
-        distinct, first = np.unique(self.keys, return_index=True)
-        df = np.array([len(np.unique(x)) for x in np.split(self.owner, first[1:])]) if len(distinct) else np.empty(0)
-        weight = dict(zip(distinct.tolist(), np.log1p(len(ids) / np.maximum(df, 1)).tolist(), strict=True))
-        self.weight = np.array([weight[x] for x in self.keys.tolist()])
-        self.items = []
-        for i in range(len(ids)):
-            own, count = np.unique(runs[ranges[i] : ranges[i + 1]], return_counts=True)
-            w = np.array([weight[x] for x in own.tolist()])
-            self.items.append((own, count, w, float((w * count).sum())))
+        distinct, first, same = np.unique(self.keys, return_index=True, return_inverse=True)
+        new = np.ones(len(self.keys), np.int64)
+        new[1:] = (self.keys[1:] != self.keys[:-1]) | (self.owner[1:] != self.owner[:-1])
+        weight = np.log1p(len(ids) / np.add.reduceat(new, first)) if len(distinct) else np.empty(0)
+        self.weight = weight[same]
+        # the distinct shingles of each item, with counts and weights, one item behind the other
+        order = np.lexsort((same, self.owner))
+        new = np.ones(len(order), bool)
+        new[1:] = (same[order][1:] != same[order][:-1]) | (self.owner[order][1:] != self.owner[order][:-1])
+        at = np.flatnonzero(new)
+        self.item_keys, self.item_weights = self.keys[order][at], self.weight[order][at]
+        self.item_counts = np.diff(np.append(at, len(order))).astype(np.int32)
+        self.item_bounds = np.searchsorted(self.owner[order][at], np.arange(len(ids) + 1))
+        self.totals = np.bincount(self.owner, self.weight, len(ids))
         # a bit table in front of the exact search: most shingles of a text are no item's
         self.shift = np.uint64(64 - 22)
         self.front = np.zeros(1 << 22, bool)
         self.front[(self.keys >> self.shift).astype(np.int64)] = True
-        self.prints: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        near = radius // 8
-        values = np.arange(256)
-        close = _BIT[values[:, None] ^ values[None, :]] <= near
+        self.prints: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
         for size in np.unique(self.length[self.length > 0]):
             own = np.flatnonzero(self.length == size)
             prints = np.array([simhash(hashes[bounds[i] : bounds[i + 1]]) for i in own], np.uint64)
             blocks = prints.astype(">u8").view(np.uint8).reshape(-1, 8)
-            table = close[:, blocks]  # value, item, block: may the item stand for this value of this block
-            self.prints[int(size)] = own, prints, np.ascontiguousarray(table.transpose(2, 0, 1))
+            # of each block the items by its value, and where each value begins
+            listed = np.argsort(blocks, axis=0, kind="stable").astype(np.int32).T
+            begins = np.array([np.searchsorted(blocks[listed[b], b], np.arange(257)) for b in range(8)], np.int32)
+            self.prints[int(size)] = own, prints, listed, begins
 
     def within(self, size: int, fingerprint: int) -> np.ndarray:
         """All items of ``size`` words within the radius, by the block tables."""
-        own, prints, tables = self.prints[size]
+        own, prints, listed, begins = self.prints[size]
+        near = _NEAR[self.radius // 8]
         hit = np.zeros(len(own), bool)
         for b, value in enumerate(fingerprint.to_bytes(8, "big")):
-            hit |= tables[b, value]
+            for v in near[value]:
+                if begins[b, v + 1] > begins[b, v]:
+                    hit[listed[b, begins[b, v] : begins[b, v + 1]]] = True
         at = np.flatnonzero(hit)
         apart = _BIT[(prints[at] ^ np.uint64(fingerprint)).view(np.uint8).reshape(-1, 8)].sum(1)
         return own[at[apart <= self.radius]]
@@ -110,15 +119,15 @@ class Index:
                 else:
                     windows.setdefault((size, min(max(h - place, 0), max(n - size, 0))), set()).add(item)
                 held.setdefault(item, {})[place] = weight
-        enough = {item for item, own in held.items() if sum(own.values()) >= self.similarity * self.items[item][3] - 1e-9}
+        enough = {item for item, own in held.items() if sum(own.values()) >= self.similarity * self.totals[item] - 1e-9}
         best: dict[int, tuple[float, int, int]] = {}
         for size, start in sorted(windows):
             window = hashes[start : start + size]
             own, count = np.unique(runs[start : start + max(len(window) - self.words + 1, 1)], return_counts=True)
             for item in sorted({*self.within(size, simhash(window)).tolist(), *(windows[size, start] & enough)}):
-                keys, counts, weights, total = self.items[item]
-                _, i, j = np.intersect1d(keys, own, assume_unique=True, return_indices=True)
-                score = float((weights[i] * np.minimum(counts[i], count[j])).sum()) / total if total else 0.0
+                a, b = self.item_bounds[item : item + 2]
+                _, i, j = np.intersect1d(self.item_keys[a:b], own, assume_unique=True, return_indices=True)
+                score = float((self.item_weights[a:b][i] * np.minimum(self.item_counts[a:b][i], count[j])).sum()) / self.totals[item] if self.totals[item] else 0.0
                 if score >= self.similarity - 1e-12 and score > best.get(item, (0.0,))[0] + 1e-12:
                     best[item] = (score, start, len(window))
         return best
@@ -153,22 +162,32 @@ def _found(index: Index, column: pa.Array):
                 yield first + int(d), index.ids[item], score, at, size, head, head + len(data[a:b].tobytes().decode())
 
 
-def _indexes(docs, items, item_id, item_text, words, radius, similarity, block):
-    sc = docs.sparkSession.sparkContext
+def _scans(docs, items, item_id, item_text, words, radius, similarity, block, blocks):
+    """For each scan of the documents the broadcast indexes of up to ``blocks`` blocks of items."""
+    sc, held = docs.sparkSession.sparkContext, []
     for ids, texts in item_blocks(items, item_id, item_text, block):
-        yield sc.broadcast(Index(ids, texts, words, radius, similarity))  # bounded by ``block`` items
+        held.append(sc.broadcast(Index(ids, texts, words, radius, similarity)))  # bounded by ``block`` items
+        if len(held) == blocks:
+            yield held
+            held = []
+    if held:
+        yield held
 
 
-def contaminations(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", words: int = 5, similarity: float = 0.8, radius: int = 20, block: int = 5000) -> DataFrame:
-    """One row per document and item whose passage it holds: ids, similarity, words and span (code points)."""
+def contaminations(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", words: int = 5, similarity: float = 0.8, radius: int = 20, block: int = 20_000, blocks: int = 4) -> DataFrame:
+    """One row per document and item whose passage it holds: ids, similarity, words and span (code points).
+
+    A task holds the indexes of ``block`` times ``blocks`` items, some 2 KB each, and reads the texts
+    once for as many.
+    """
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {kind}, {COLUMNS}"
     out = None
-    for shared in _indexes(docs, items, item_id, item_text, words, radius, similarity, block):
+    for held in _scans(docs, items, item_id, item_text, words, radius, similarity, block, blocks):
 
-        def run(batches, shared=shared):
+        def run(batches, held=held):
             for b in batches:
-                rows = list(_found(shared.value, b.column(1)))
+                rows = [r for shared in held for r in _found(shared.value, b.column(1))]
                 if rows:
                     columns = list(zip(*rows, strict=True))
                     yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(columns[0])), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64()), *(pa.array(c, pa.int64()) for c in columns[3:])], [id_col, *[c.split(" ")[0] for c in COLUMNS.split(", ")]])
@@ -178,15 +197,16 @@ def contaminations(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", te
     return out if out is not None else docs.sparkSession.createDataFrame([], schema)
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", words: int = 5, similarity: float = 0.8, radius: int = 20, block: int = 5000) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", words: int = 5, similarity: float = 0.8, radius: int = 20, block: int = 20_000, blocks: int = 4) -> DataFrame:
     """The documents that hold no item's passage, all columns as they were; no shuffle."""
     at = docs.columns.index(text_col)
-    for shared in _indexes(docs, items, item_id, item_text, words, radius, similarity, block):
+    for held in _scans(docs, items, item_id, item_text, words, radius, similarity, block, blocks):
 
-        def run(batches, shared=shared):
+        def run(batches, held=held):
             for b in batches:
                 keep = np.ones(b.num_rows, bool)
-                keep[[r[0] for r in _found(shared.value, b.column(at))]] = False
+                for shared in held:
+                    keep[[r[0] for r in _found(shared.value, b.column(at))]] = False
                 yield b.filter(pa.array(keep))
 
         docs = docs.mapInArrow(run, docs.schema)
